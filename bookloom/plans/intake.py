@@ -46,8 +46,8 @@ def split_rejects(routed: DataFrame) -> tuple[DataFrame, DataFrame]:
         "dt",
         W.event_name(F.col("value")).alias("event"),
     )
-    rejected = routed.filter(F.col("reason").isNotNull()).select(*schemas.REJECTS.columns)
-    return stored.select(*schemas.BRONZE.columns), rejected
+    rejected = routed.filter(F.col("reason").isNotNull()).withColumnRenamed("random_id", "reject_id")
+    return stored.select(*schemas.BRONZE.columns), rejected.select(*schemas.REJECTS.columns)
 
 
 def latest_copies(bronze: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bookloom.functions.webhooks import CHANNEL_OF_EVENT_TYPE
+from bookloom.session import work_dir
 
 FACEBOOK, YOUTUBE, TIKTOK = "facebook_paid_ads", "youtube_paid_ads", "tiktok_paid_ads"
 CHANNELS = [FACEBOOK, YOUTUBE, TIKTOK]
@@ -16,18 +17,11 @@ CAMPAIGNS = ["(none)", "cmp_3", "cmp_4"]
 TYPE_ID = {channel: type_id for type_id, channel in CHANNEL_OF_EVENT_TYPE.items()}
 API = "https://api.example.com"
 
-EVENTS_DDL = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_k(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
-def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same table as a stream. The bracket makes the path a pattern, which a single file needs."""
-    return with_k(spark.readStream.schema(EVENTS_DDL).parquet(f"{sf_dir}/events.parque[t]"))
-
-
 def with_k(rows: DataFrame) -> DataFrame:
     return rows.withColumns({
         "k": F.get_json_object("props", "$.k").cast("int"), "at": F.col("ts").cast("timestamp")})
@@ -152,8 +146,9 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format(seconds_later("at", 30), "yyyy-MM-dd").alias("dt"), webhook_json(rows).alias("body"))
 
 
-def envelopes_of(rows: DataFrame) -> DataFrame:
+def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Envelopes as they arrive: some in base64, some broken, some no JSON, some no object, some empty."""
+    rows = events(spark, sf_dir)
     k, body = F.col("k"), webhook_json(rows)
     return rows.select(
         F.when(k == 3, F.lit("[1, 2]")).when(k == 4, label("junk ", "event_id")).when(k == 5, F.base64(body.cast("binary")))
@@ -163,9 +158,8 @@ def envelopes_of(rows: DataFrame) -> DataFrame:
     )
 
 
-def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return envelopes_of(events(spark, sf_dir))
-
-
-def stream_of_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return envelopes_of(stream_events(spark, sf_dir))
+def landed_envelopes(spark: SparkSession, sf_dir: str) -> str:
+    """Envelopes written as JSON lines to the shared folder; returns their path."""
+    path = work_dir(spark, "landed")
+    envelopes(spark, sf_dir).write.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path)
+    return path

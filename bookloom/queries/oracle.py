@@ -109,19 +109,19 @@ campaign_daily AS (
 
 TIMES = f"""
 times AS (
-  SELECT source, booking_id, CAST(hour(at) AS INTEGER) AS hour_of_day, CAST(isodow(at) AS INTEGER) AS dow_num,
-    strftime(at, '%a') AS dow_name, CAST(at AS DATE) AS booking_date_local, day
+  SELECT source, booking_id, CAST(hour(wall) AS INTEGER) AS hour_of_day, CAST(isodow(wall) AS INTEGER) AS dow_num,
+    strftime(wall, '%a') AS dow_name, CAST(wall AS DATE) AS booking_date_local, day
   FROM (
-    SELECT channel AS source, booking_id, {local('coalesce(booking_created_at, webhook_received_at)')} AS at, day
+    SELECT channel AS source, booking_id, {local('coalesce(booking_created_at, webhook_received_at)')} AS wall, day
     FROM bookings WHERE {named('channel')})
-  WHERE at IS NOT NULL
+  WHERE wall IS NOT NULL
 )"""
 
 MEETINGS = f"""
 meetings AS (
-  SELECT employee_id, meeting_id, CAST(at AS DATE) AS meeting_date, CAST(date_trunc('week', at) AS DATE) AS week_start_date
+  SELECT employee_id, meeting_id, CAST(wall AS DATE) AS meeting_date, CAST(date_trunc('week', wall) AS DATE) AS week_start_date
   FROM (
-    SELECT organizer_email AS employee_id, scheduled_event_id AS meeting_id, {local('scheduled_event_start')} AS at
+    SELECT organizer_email AS employee_id, scheduled_event_id AS meeting_id, {local('scheduled_event_start')} AS wall
     FROM bookings
     WHERE {named('organizer_email')} AND coalesce(invitee_status, '') NOT IN ('canceled', 'cancelled'))
 )"""
@@ -456,8 +456,8 @@ FROM stored s JOIN webhooks w ON s.row_id = w.event_id""",
 SELECT DISTINCT booking_id, coalesce({named('channel')}, FALSE) AS has_channel, nullif(trim(utm_campaign), '') AS campaign,
   coalesce(nullif(utm_campaign, ''), '(none)') AS campaign_display, {title('channel')} AS channel_display FROM bookings"""),
     "time_functions": from_bookings(f"""
-SELECT booking_id, local, CAST(local AS DATE) AS local_date, CAST(date_trunc('week', local) AS DATE) AS week_start,
-  CAST(hour(local) AS INTEGER) AS hour_of_day, CAST(isodow(local) AS INTEGER) AS dow_num, strftime(local, '%a') AS dow_name,
+SELECT booking_id, wall AS local, CAST(wall AS DATE) AS local_date, CAST(date_trunc('week', wall) AS DATE) AS week_start,
+  CAST(hour(wall) AS INTEGER) AS hour_of_day, CAST(isodow(wall) AS INTEGER) AS dow_num, strftime(wall, '%a') AS dow_name,
   day - 1 AS day_before
-FROM (SELECT *, {local('scheduled_event_start')} AS local FROM bookings)"""),
+FROM (SELECT *, {local('scheduled_event_start')} AS wall FROM bookings)"""),
 }

@@ -20,7 +20,7 @@ from bookloom.session import configure, work_dir
 from bookloom.sinks import catalog, export
 from bookloom.sinks.tables import overwrite_partitions, replace_days, write_table
 from bookloom.sources.tables import load_table
-from bookloom.sources.webhooks import parse_bronze
+from bookloom.sources.webhooks import parse_bronze, read_envelopes, stream_envelopes
 from bookloom.streaming.intake import start_intake
 from bookloom.streaming.silver import start_silver
 
@@ -317,19 +317,20 @@ def intake_rows(bronze: DataFrame) -> DataFrame:
 
 @query
 def webhook_intake(spark, sf):
-    bronze, _ = intake.ingest_webhooks(A.envelopes(spark, sf))
+    bronze, _ = intake.ingest_webhooks(read_envelopes(spark, A.landed_envelopes(spark, sf)))
     return intake_rows(bronze)
 
 
 @query
 def webhook_intake_rejects(spark, sf):
-    _, rejects = intake.ingest_webhooks(A.envelopes(spark, sf))
-    return rejects
+    _, rejects = intake.ingest_webhooks(read_envelopes(spark, A.landed_envelopes(spark, sf)))
+    return rejects.drop("reject_id")
 
 
 def run_intake(spark, sf, **kwargs):
     bronze, rejects, checkpoint = (work_dir(spark, n) for n in ("bronze", "rejects", "intake-state"))
-    for started in start_intake(A.stream_of_envelopes(spark, sf), bronze, rejects, checkpoint, **kwargs):
+    envelopes = stream_envelopes(spark, A.landed_envelopes(spark, sf))
+    for started in start_intake(envelopes, bronze, rejects, checkpoint, **kwargs):
         started.awaitTermination()
     return bronze, rejects
 
@@ -343,7 +344,7 @@ def stream_webhook_intake(spark, sf):
 @query
 def stream_webhook_intake_rejects(spark, sf):
     _, rejects = run_intake(spark, sf)
-    return load_table(spark, rejects, schemas.REJECTS)
+    return load_table(spark, rejects, schemas.REJECTS).drop("reject_id")
 
 
 @query

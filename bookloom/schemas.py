@@ -42,7 +42,7 @@ BRONZE = TableLayout(
 
 REJECTS = TableLayout(
     "rejected_webhooks",
-    "body string, is_base64 boolean, received_at timestamp, reason string, dt string", ("dt",))
+    "reject_id string, body string, is_base64 boolean, received_at timestamp, reason string, dt string", ("dt",))
 
 EVENTS = TableLayout(
     "booking_events",
