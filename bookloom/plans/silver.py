@@ -73,17 +73,19 @@ def clean_spend(raw: DataFrame) -> DataFrame:
 
 def rebuild_events(
     spark: SparkSession, bronze_root: str, silver_path: str, start: T.Day, end: T.Day,
-    channel_map: dict[str, str] | None = None, mode: str = "overwrite",
+    channel_map: dict[str, str] | None = None, mode: str = "overwrite", compact: bool = True,
 ) -> None:
     """Backfill or daily run over stored webhook JSON: all days in one job.
 
     `overwrite` replaces exactly the days from `start` to `end`; `append` adds rows and doubles them on a second run.
+    `compact` spends a shuffle on well-sized output files; one event per input file makes that worth while.
     """
     events = flatten_events(read_bronze(spark, bronze_root, start, end), channel_map)
     if mode == "append":
-        write_table(events, silver_path, schemas.EVENTS.by)
+        write_table(events, silver_path, schemas.EVENTS.by, rebalance=compact)
     else:
-        overwrite_partitions(events, silver_path, "dt", scope=T.in_days(F.col("dt"), start, end))
+        scope = T.in_days(F.col("dt"), start, end)
+        overwrite_partitions(events, silver_path, "dt", scope, rebalance=compact)
 
 
 def rebuild_yesterday(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from bookloom.functions.times import Day, iso
-from bookloom.sources.tables import load_table, table_exists
+from bookloom.sources.tables import path_exists
 
 
 def rebalanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -34,6 +34,12 @@ def partitions_in(df: DataFrame, column: str) -> list[str]:
     return sorted(str(row[0]) for row in days.collect())
 
 
+def read_back(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
+    """The table in a folder, read with the columns and types of `df`."""
+    reader = df.sparkSession.read.format(fmt)
+    return (reader if fmt == "delta" else reader.schema(df.schema)).load(path).select(*df.columns)
+
+
 def overwrite_partitions(
     df: DataFrame, path: str, by: str, scope: Column | None = None, fmt: str = "parquet", rebalance: bool = True,
 ) -> list[str]:
@@ -44,9 +50,8 @@ def overwrite_partitions(
     """
     spark = df.sparkSession
     stale: set[str] = set()
-    if scope is not None and table_exists(spark, path, fmt):
-        old = spark.read.format(fmt).load(path).filter(scope)
-        stale = set(partitions_in(old, by))
+    if scope is not None and path_exists(spark, path):
+        stale = set(partitions_in(read_back(df, path, fmt).filter(scope), by))
     # The written partitions are noted during the write itself; asking `df` would compute it a second time.
     seen = Observation()
     rows = rebalanced(df, [by]) if rebalance else df
@@ -72,14 +77,3 @@ def replace_days(
 def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Replace a table without partitions. `df` must not read from `path`."""
     df.write.format(fmt).mode("overwrite").save(path)
-
-
-def read_back(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
-    """The table just written from `df`, with its column types."""
-    reader = df.sparkSession.read.format(fmt)
-    return (reader if fmt == "delta" else reader.schema(df.schema)).load(path).select(*df.columns)
-
-
-__all__ = [
-    "load_table", "overwrite_partitions", "overwrite_table", "partitions_in", "read_back", "rebalanced",
-    "replace_days", "write_table"]

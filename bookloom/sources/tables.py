@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from bookloom.schemas import TableLayout
 
-MISSING = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "TABLE_OR_VIEW_NOT_FOUND"}
-
 
 def is_path(name_or_path: str) -> bool:
     return "/" in name_or_path
@@ -29,21 +26,14 @@ def load_table(
     return table.select(*layout.columns) if layout is not None else table
 
 
-def table_exists(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> bool:
-    """The folder exists and holds data files of the format, or the catalog knows the name."""
-    if not is_path(name_or_path):
-        return spark.catalog.tableExists(name_or_path)
-    try:
-        spark.read.format(fmt).load(name_or_path)
-    except AnalysisException as error:
-        if error.getCondition() in MISSING:
-            return False
-        raise
-    return True
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """The folder exists. Asked of the file system: a failing read would leave errors in the log."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
 def load_or_empty(spark: SparkSession, path: str, layout: TableLayout, fmt: str = "parquet") -> DataFrame:
     """The table, or no rows with its columns when nothing has been written yet."""
-    if table_exists(spark, path, fmt):
+    if path_exists(spark, path):
         return load_table(spark, path, layout, fmt)
     return spark.createDataFrame([], layout.ddl)

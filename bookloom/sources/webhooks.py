@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bookloom import schemas
-from bookloom.functions.times import Day, in_days
+from bookloom.functions.times import Day, date_range, in_days
+from bookloom.sources.tables import path_exists
 
 
 def read_envelopes(spark: SparkSession, path: str) -> DataFrame:
@@ -23,13 +24,19 @@ def stream_envelopes(spark: SparkSession, path: str, max_files: int | None = Non
 
 
 def read_bronze(spark: SparkSession, root: str, start: Day | None = None, end: Day | None = None) -> DataFrame:
-    """Webhook JSON stored as `dt=<day>/<event>/<id>.json`, parsed; only the folders of the asked days are read.
+    """Webhook JSON stored as `dt=<day>/<event>/<id>.json`, parsed.
 
-    Days without a folder give no rows. `dt` stays text because the schema names it.
+    With both bounds only the folders of these days are listed, however many the store holds; a day without a folder
+    gives no rows. `dt` stays text because the schema names it.
     """
-    bronze = (
-        spark.read.schema(schemas.WEBHOOK_BY_DAY).option("recursiveFileLookup", False).json(root))
-    return bronze.filter(in_days(F.col("dt"), start, end))
+    reader = spark.read.schema(schemas.WEBHOOK_BY_DAY).option("basePath", root)
+    if start is None or end is None:
+        return reader.json(root).filter(in_days(F.col("dt"), start, end))
+    folders = [f"{root.rstrip('/')}/dt={day}" for day in date_range(start, end)]
+    present = [folder for folder in folders if path_exists(spark, folder)]
+    if not present:
+        return spark.createDataFrame([], schemas.WEBHOOK_BY_DAY)
+    return reader.json(present)
 
 
 def parse_bronze(bronze: DataFrame) -> DataFrame:
