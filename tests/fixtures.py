@@ -94,8 +94,15 @@ def spend(spark, *rows: tuple):
     return spark.createDataFrame(list(rows), "dt string, channel string, spend double")
 
 
-def values(df) -> list[tuple]:
-    return sorted((tuple(r) for r in df.collect()), key=repr)
+class Rows(list):
+    """Rows that equal others in any order."""
+
+    def __eq__(self, other):
+        return sorted(self, key=repr) == sorted(other, key=repr)
+
+
+def values(df) -> Rows:
+    return Rows(sorted((tuple(r) for r in df.collect()), key=repr))
 
 
 def envelopes(spark, *rows: tuple):
