@@ -51,11 +51,21 @@ def booked_within(start: T.Day, end: T.Day, zone: str) -> Column:
         created.isNull() & T.within_local_days(arrived, start, end, zone))
 
 
-def time_features_on_days(events: DataFrame, days: Iterable[T.Day], zone: str = T.NEW_YORK) -> DataFrame:
-    """Complete local days."""
+def time_features_on_days(
+    events: DataFrame, days: Iterable[T.Day], zone: str = T.NEW_YORK, max_delay_days: int | None = None,
+) -> DataFrame:
+    """Complete local days.
+
+    The time filter reaches the scan, but a booking may be received on any later day, so all partitions are opened.
+    Where webhooks are known to arrive within `max_delay_days` of the booking, only those partitions are read.
+    """
     chosen = sorted(T.iso(d) for d in days)
     if not chosen:
         return gold.time_features(events, zone).limit(0)
+    if max_delay_days is not None:
+        # A local day touches the UTC days before and after it.
+        first, last = T.as_day(chosen[0]), T.as_day(chosen[-1])
+        events = received(events, first - timedelta(days=1), last + timedelta(days=1 + max_delay_days))
     near = events.filter(booked_within(chosen[0], chosen[-1], zone))
     return gold.time_features(near, zone).filter(T.on_any_day(F.col("booking_date_local"), chosen))
 
@@ -135,7 +145,7 @@ def refresh_campaign_daily(
 
 def refresh_time_features(
     events: DataFrame, path: str, start: T.Day, end: T.Day, mode: str = "overwrite", by: str = "local_day",
-    zone: str = T.NEW_YORK,
+    zone: str = T.NEW_YORK, max_delay_days: int | None = None,
 ) -> list[str]:
     """`by="local_day"`: the local days of the range. `by="ingest_day"`: what was received in the range.
 
@@ -151,7 +161,8 @@ def refresh_time_features(
     else:
         days = partitions_in(time_features_received(events, start, end, zone), "booking_date_local")
     scope = T.on_any_day(F.col("booking_date_local"), days)
-    return write_slice(time_features_on_days(events, days, zone), path, schemas.TIME_FEATURES, mode, scope)
+    rows = time_features_on_days(events, days, zone, max_delay_days)
+    return write_slice(rows, path, schemas.TIME_FEATURES, mode, scope)
 
 
 def refresh_meeting_features(
@@ -183,7 +194,9 @@ def refresh(
     if name == schemas.CAMPAIGN_DAILY.name:
         return refresh_campaign_daily(events, spend, path, day, day, mode)
     if name == schemas.TIME_FEATURES.name:
-        return refresh_time_features(events, path, day, day, mode)
+        # Bookings received after midnight UTC belong to the local day before, so replacing goes by day of receipt.
+        by = "local_day" if mode == "append" else "ingest_day"
+        return refresh_time_features(events, path, day, day, mode, by)
     if name == schemas.MEETING_FEATURES.name:
         return refresh_meeting_features(events, path, day=day, mode=mode)
     raise ValueError(f"unknown table {name!r}")

@@ -28,12 +28,27 @@ SUGGESTED = {
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+SHUFFLE_BYTES = 256 * 1024 ** 2
 
-def build_session(app: str = "bookloom", master: str | None = None, **conf: str) -> SparkSession:
-    """Start (or fetch) a session with the library's settings; `conf` overrides the suggested ones."""
+
+def shuffle_partitions(shuffled_bytes: int, at_least: int = 200) -> int:
+    """Reduce tasks for a shuffle of this size, about 256 MB each. Adaptive execution merges those that turn out
+    small, but cannot split one of an aggregation that is too large, so rather too many than too few."""
+    return max(at_least, -(-shuffled_bytes // SHUFFLE_BYTES))
+
+
+def build_session(
+    app: str = "bookloom", master: str | None = None, shuffled_bytes: int | None = None, **conf: str,
+) -> SparkSession:
+    """Start (or fetch) a session with the library's settings; `conf` overrides the suggested ones.
+
+    `shuffled_bytes` is the largest expected shuffle: for a full build about the bytes of the id and channel columns.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    if shuffled_bytes is not None:
+        conf = {"spark.sql.shuffle.partitions": str(shuffle_partitions(shuffled_bytes)), **conf}
     for key, value in {**SUGGESTED, **REQUIRED, **conf}.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())

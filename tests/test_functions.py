@@ -114,3 +114,8 @@ def test_latest_before(spark):
     df = spark.createDataFrame(
         [("a", dt.date(2025, 1, 1), 1), ("a", dt.date(2025, 1, 3), 3), ("b", dt.date(2025, 1, 5), 5)], "k string, d date, v int")
     assert values(latest_before(df, "k", "d", "v", "2025-01-05")) == [("a", 3)]
+
+
+def test_shuffle_partitions():
+    from bookloom.session import shuffle_partitions
+    assert (shuffle_partitions(0), shuffle_partitions(256 * 1024 ** 2 * 300 + 1)) == (200, 301)

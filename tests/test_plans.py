@@ -55,6 +55,8 @@ def test_distinct_counts_spread_over_keys_and_ids(silver):
 def test_time_filters_reach_the_scan(spark, silver):
     text = plan(refresh.time_features_on_days(silver[0], ["2024-01-15"]))
     assert "PushedFilters: [Or(And(GreaterThanOrEqual(booking_created_at" in text
+    text = plan(refresh.time_features_on_days(silver[0], ["2024-01-15"], max_delay_days=2))
+    assert re.search(r"PartitionFilters: \[isnotnull\(dt#\d+\), \(dt#\d+ >= 2024-01-14\), \(dt#\d+ <= 2024-01-18\)", text)
     text = plan(refresh.meeting_features_in_weeks(silver[0], ["2024-01-15"]))
     assert "GreaterThanOrEqual(scheduled_event_start" in text
     assert "Exchange" not in text

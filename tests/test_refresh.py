@@ -53,13 +53,19 @@ def test_time_features_by_day_of_receipt_equals_full_build(spark, silver, tmp_pa
     assert values(stored) == values(gold.time_features(silver[0]))
 
 
+def test_known_delay_gives_the_same_rows(spark, silver):
+    days = ["2024-01-06", "2024-01-07"]
+    near = refresh.time_features_on_days(silver[0], days, max_delay_days=0)
+    assert values(near) == values(refresh.time_features_on_days(silver[0], days))
+
+
 def test_time_features_by_local_day(spark, silver, tmp_path):
     path = str(tmp_path / "t")
     for _ in range(2):
-        refresh.refresh(schemas.TIME_FEATURES.name, *silver, path, as_of="2024-01-07")
+        refresh.refresh_time_features(silver[0], path, "2024-01-06", "2024-01-06")
     wanted = gold.time_features(silver[0]).filter("booking_date_local = date '2024-01-06'")
     assert values(load_table(spark, path, schemas.TIME_FEATURES)) == values(wanted)
-    refresh.refresh_time_features(silver[0], path, "2024-01-06", "2024-01-06", mode="append")
+    refresh.refresh(schemas.TIME_FEATURES.name, *silver, path, as_of="2024-01-07", mode="append")
     assert load_table(spark, path, schemas.TIME_FEATURES).count() == 2 * wanted.count()
 
 
