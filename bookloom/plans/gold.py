@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bookloom import schemas
@@ -86,7 +86,7 @@ def campaign_daily(events: DataFrame, spend: DataFrame, mode: str = "proportiona
     return allocated.withColumn("cpb", round_half_up(cpb)).select(*schemas.CAMPAIGN_DAILY.columns)
 
 
-def booked_at():
+def booked_at() -> Column:
     """When a booking was made, else when its webhook arrived."""
     return F.coalesce("booking_created_at", "webhook_received_at")
 
@@ -105,7 +105,7 @@ def time_features(events: DataFrame, zone: str = NEW_YORK) -> DataFrame:
     )
 
 
-def not_cancelled(status):
+def not_cancelled(status: Column) -> Column:
     """Any status but the two spellings of a cancellation; a missing status counts as not cancelled."""
     return ~default(status, "").isin(*CANCELLED)
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bookloom.functions import times as T
@@ -38,7 +38,7 @@ def period_kpis(detail: DataFrame, period: str, group: str) -> DataFrame:
     )
 
 
-def weighted_cost(spend: str, bookings: str):
+def weighted_cost(spend: str, bookings: str) -> Column:
     """Spend over bookings of all rows together; 0 without bookings."""
     return F.coalesce(divide(F.sum(spend), F.sum(bookings)), F.lit(0.0))
 

@@ -27,6 +27,12 @@ def with_k(rows: DataFrame) -> DataFrame:
         "k": F.get_json_object("props", "$.k").cast("int"), "at": F.col("ts").cast("timestamp")})
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Use every core when the input is one small file; writing webhook bodies takes longer than reading their rows."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def seconds_later(column: str, seconds: int) -> Column:
     return F.col(column) + F.make_interval(secs=F.lit(seconds))
 
@@ -141,14 +147,14 @@ def webhook_json(rows: DataFrame) -> Column:
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored webhook bodies by day of receipt, one per event."""
-    rows = events(spark, sf_dir)
+    rows = spread(events(spark, sf_dir))
     return rows.select(
         F.date_format(seconds_later("at", 30), "yyyy-MM-dd").alias("dt"), webhook_json(rows).alias("body"))
 
 
 def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Envelopes as they arrive: some in base64, some broken, some no JSON, some no object, some empty."""
-    rows = events(spark, sf_dir)
+    rows = spread(events(spark, sf_dir))
     k, body = F.col("k"), webhook_json(rows)
     return rows.select(
         F.when(k == 3, F.lit("[1, 2]")).when(k == 4, label("junk ", "event_id")).when(k == 5, F.base64(body.cast("binary")))
@@ -163,3 +169,30 @@ def landed_envelopes(spark: SparkSession, sf_dir: str) -> str:
     path = work_dir(spark, "landed")
     envelopes(spark, sf_dir).write.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path)
     return path
+
+
+def stored_webhooks(spark: SparkSession, sf_dir: str) -> str:
+    """Webhook JSON in folders by day of receipt; returns the root."""
+    root = work_dir(spark, "stored")
+    bronze(spark, sf_dir).write.partitionBy("dt").text(root)
+    return root
+
+
+SPEND_FILES = ["2024-02-01", "2024-02-02", "2024-02-03"]
+
+
+def spend_files(spark: SparkSession, sf_dir: str) -> str:
+    """Three spend files, each one JSON array with a record per day and channel; returns their folder.
+
+    The first has all days, each later one only the days from its number on, with its own amounts.
+    """
+    root = work_dir(spark, "spend-files")
+    rows = events(spark, sf_dir).withColumn("channel", channel())
+    for n, label_of_file in enumerate(SPEND_FILES):
+        records = rows.filter((F.col("k") % 3 == n) & (F.day("at") > 5 * n)).groupBy(
+            F.date_format("at", "yyyy-MM-dd").alias("date"), "channel").agg(
+            F.sum(F.col("value").cast("decimal(18,2)")).cast("string").alias("spend"))
+        # At most one record per day and channel, so the array stays short.
+        array = records.agg(F.to_json(F.collect_list(F.struct("date", "channel", "spend"))).alias("value"))
+        array.write.text(f"{root}/spend_data_{label_of_file}.json")
+    return root

@@ -322,6 +322,15 @@ SELECT event_type_url, CASE WHEN utm_source IN ('click', 'view') THEN utm_source
   webhook_received_at FROM silver""",
     "spend_silver": "WITH " + CLEAN_SPEND + "\nSELECT * FROM clean_spend",
 
+    "events_silver_from_files": "WITH " + SILVER + f"\nSELECT * FROM silver WHERE {between('CAST(dt AS DATE)')}",
+    "spend_silver_from_files": "WITH " + WITH_K + """
+SELECT channel, arg_max(spend, file) AS spend, dt
+FROM (
+  SELECT channel, k % 3 AS file, strftime(ts, '%Y-%m-%d') AS dt,
+    CAST(sum(CAST(value AS DECIMAL(18, 2))) AS DOUBLE) AS spend
+  FROM source_rows WHERE channel IS NOT NULL AND day(ts) > 5 * (k % 3) GROUP BY ALL)
+GROUP BY channel, dt""",
+
     "daily_bookings_by_channel_rows": from_bookings(DAILY_COLUMNS, daily_cte(count="booking_id")),
     "daily_bookings_by_channel_distinct": from_bookings(DAILY_COLUMNS, daily_cte()),
     "cpb_by_channel": with_spend(CPB_COLUMNS, CPB),
@@ -354,6 +363,8 @@ SELECT event_type_url, CASE WHEN utm_source IN ('click', 'view') THEN utm_source
     "refreshed_time_features": from_bookings(TIME_COLUMNS, TIMES),
     "refreshed_meeting_features": from_bookings(MEETING_COLUMNS, MEETINGS),
 
+    "daily_run_bookings": from_bookings(DAILY_COLUMNS, daily_cte(f"day = DATE '{DAY}'")),
+
     "table_append": from_bookings(
         f"{DAILY_COLUMNS} UNION ALL {DAILY_COLUMNS} WHERE booking_date = DATE '{DAY}'", daily_cte()),
     "table_overwrite_partitions": from_bookings(f"""
@@ -368,6 +379,7 @@ SELECT channel, spend, dt FROM clean_spend WHERE {between('CAST(dt AS DATE)')}""
     "catalog_row_counts": with_spend("""
 SELECT 'bookloom_check.booking_events' AS table_name, count(*) AS n_rows FROM bookings
 UNION ALL SELECT 'bookloom_check.events_spend', count(*) FROM spend"""),
+    "catalog_swapped_cpb": with_spend(CPB_COLUMNS, CPB),
     "csv_export": from_bookings(DAILY_COLUMNS, daily_cte()),
 
     "webhook_intake": INTAKE,

@@ -78,6 +78,24 @@ def spend_silver(spark, sf):
     return silver.clean_spend(A.spend_records(spark, sf))
 
 
+@query
+def events_silver_from_files(spark, sf):
+    """Backfill of some days from stored webhook JSON into the silver table, run twice."""
+    root, path = A.stored_webhooks(spark, sf), work_dir(spark, "silver")
+    for _ in range(2):
+        silver.rebuild_events(spark, root, path, START, END)
+    return load_table(spark, path, schemas.EVENTS)
+
+
+@query
+def spend_silver_from_files(spark, sf):
+    """First the earliest file, then all of them."""
+    files, path = A.spend_files(spark, sf), work_dir(spark, "spend")
+    for day in (A.SPEND_FILES[0], "ALL"):
+        silver.build_spend(spark, files, path, day)
+    return load_table(spark, path, schemas.SPEND)
+
+
 # Gold
 
 @query
@@ -251,6 +269,14 @@ def refreshed_meeting_features(spark, sf):
     return load_table(spark, path, schemas.MEETING_FEATURES)
 
 
+@query
+def daily_run_bookings(spark, sf):
+    """The daily run of the first table: only the day before."""
+    path = work_dir(spark, "daily-run")
+    refresh.refresh(schemas.DAILY_BOOKINGS.name, A.bookings(spark, sf), A.spend(spark, sf), path, as_of="2024-01-16")
+    return load_table(spark, path, schemas.DAILY_BOOKINGS)
+
+
 # Sinks
 
 @query
@@ -298,6 +324,17 @@ def catalog_row_counts(spark, sf):
     return counts
 
 
+@query
+def catalog_swapped_cpb(spark, sf):
+    """Full refresh by moving the catalog entry to a finished copy."""
+    table, base = "bookloom_check.cpb", work_dir(spark, "cpb-versions")
+    spark.sql("CREATE DATABASE IF NOT EXISTS bookloom_check")
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    for events in (first_part(spark, sf), A.bookings(spark, sf)):
+        catalog.swap_table(gold.cpb_by_channel(events, A.spend(spark, sf)), table, base, schemas.CPB)
+    return rounded(load_table(spark, table, schemas.CPB), "total_spend")
+
+
 @query
 def csv_export(spark, sf):
     path = work_dir(spark, "csv")

@@ -20,4 +20,4 @@ def spend_path(prefix: str, day: Day) -> str:
 def read_spend(spark: SparkSession, prefix: str, day: Day = ALL) -> DataFrame:
     """Records as written, amounts as text, plus the `source_file` they come from."""
     records = spark.read.schema(schemas.SPEND_RECORD).option("multiLine", True).json(spend_path(prefix, day))
-    return records.select("*", F.col("_metadata.file_name").alias("source_file"))
+    return records.select("*", F.col("_metadata.file_path").alias("source_file"))

@@ -23,7 +23,8 @@ def rebuild_days(
     chosen = on_any_day(F.col("dt"), days)
     bronze = load_table(spark, bronze_path, schemas.BRONZE).filter(chosen)
     events = flatten_events(parse_bronze(latest_copies(bronze)), channel_map)
-    return overwrite_partitions(events, silver_path, "dt", scope=chosen)
+    # The deduplication has shuffled a single day into well-sized pieces already.
+    return overwrite_partitions(events, silver_path, "dt", scope=chosen, rebalance=len(days) > 1)
 
 
 def start_silver(
