@@ -11,21 +11,23 @@ from bookloom.functions.times import Day, iso
 from bookloom.sources.tables import path_exists
 
 
-def rebalanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Bring rows of one partition together before writing, so that a partition gets few files.
+def laid_out(df: DataFrame, by: Sequence[str], rebalance: bool = True, sort_by: str | None = None) -> DataFrame:
+    """Arrange rows for writing.
 
-    A rebalance, not a plain repartition: adaptive execution splits a partition that is too large for one task and
-    merges small ones.
+    `rebalance` brings the rows of one partition together, so that it gets few files. Unlike a plain repartition,
+    adaptive execution splits a partition that is too large for one task and merges small ones. `sort_by` orders the
+    rows inside each file, which lets later filters on that column skip pages by their statistics.
     """
-    return df.hint("rebalance", *by) if by else df
+    rows = df.hint("rebalance", *by) if by and rebalance else df
+    return rows.sortWithinPartitions(*by, sort_by) if sort_by else rows
 
 
 def write_table(
     df: DataFrame, path: str, by: Sequence[str] = (), mode: str = "append", fmt: str = "parquet", rebalance: bool = True,
+    sort_by: str | None = None,
 ) -> None:
     """Write the rows. With `append` a second run adds them again."""
-    rows = rebalanced(df, by) if rebalance else df
-    rows.write.format(fmt).mode(mode).partitionBy(*by).save(path)
+    laid_out(df, by, rebalance, sort_by).write.format(fmt).mode(mode).partitionBy(*by).save(path)
 
 
 def partitions_in(df: DataFrame, column: str) -> list[str]:
@@ -42,6 +44,7 @@ def read_back(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
 
 def overwrite_partitions(
     df: DataFrame, path: str, by: str, scope: Column | None = None, fmt: str = "parquet", rebalance: bool = True,
+    sort_by: str | None = None,
 ) -> list[str]:
     """Replace the partitions that occur in `df` and keep all others; returns the replaced ones.
 
@@ -54,8 +57,8 @@ def overwrite_partitions(
         stale = set(partitions_in(read_back(df, path, fmt).filter(scope), by))
     # The written partitions are noted during the write itself; asking `df` would compute it a second time.
     seen = Observation()
-    rows = rebalanced(df, [by]) if rebalance else df
-    (rows.observe(seen, F.collect_set(F.col(by).cast("string")).alias("written"))
+    (laid_out(df, [by], rebalance, sort_by)
+        .observe(seen, F.collect_set(F.col(by).cast("string")).alias("written"))
         .write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).save(path))
     written = set(seen.get["written"] or [])
     empty = spark.createDataFrame([], df.drop(by).schema)

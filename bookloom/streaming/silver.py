@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from bookloom import schemas
 from bookloom.functions.times import on_any_day
 from bookloom.plans.intake import latest_copies
-from bookloom.plans.silver import flatten_events
+from bookloom.plans.silver import SORT_EVENTS_BY, flatten_events
 from bookloom.sinks.tables import overwrite_partitions, partitions_in
 from bookloom.sources.tables import load_table
 from bookloom.sources.webhooks import parse_bronze
@@ -24,7 +24,7 @@ def rebuild_days(
     bronze = load_table(spark, bronze_path, schemas.BRONZE).filter(chosen)
     events = flatten_events(parse_bronze(latest_copies(bronze)), channel_map)
     # The deduplication has shuffled a single day into well-sized pieces already.
-    return overwrite_partitions(events, silver_path, "dt", scope=chosen, rebalance=len(days) > 1)
+    return overwrite_partitions(events, silver_path, "dt", chosen, rebalance=len(days) > 1, sort_by=SORT_EVENTS_BY)
 
 
 def start_silver(

@@ -101,6 +101,15 @@ def test_rebuild_events(spark, tmp_path):
     assert read() == [("x", "2025-10-06"), ("x", "2025-10-06")]
 
 
+def test_silver_files_are_ordered_by_meeting(spark, tmp_path):
+    root, out = tmp_path / "bronze", str(tmp_path / "silver")
+    starts = [f"2025-11-{d:02d}T10:00:00Z" for d in (9, 3, 27, 1, 15)]
+    write_bronze(root, "2025-10-06", [webhook(booking=s, start_time=s) for s in starts])
+    silver.rebuild_events(spark, str(root), out, "2025-10-06", "2025-10-06")
+    [file] = spark.read.parquet(out).inputFiles()
+    assert [r.booking_id for r in spark.read.parquet(file).coalesce(1).collect()] == sorted(starts)
+
+
 def test_spend_goldens(spark, tmp_path):
     files = tmp_path / "in"
     write_spend_file(files, "2025-10-06", spend_records("2025-10-06"))
