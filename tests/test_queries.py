@@ -3,11 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry_points
+from bookloom.queries.oracle import ORACLE
+from bookloom.queries.registry import QUERIES
 from compare import connect, spark_table, spark_types, sql_table, sql_types
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +17,8 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLE) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
