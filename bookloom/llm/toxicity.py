@@ -233,13 +233,13 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The documents not predicted toxic, all columns kept. One pass without a shuffle."""
     mined, weights = model.mined, np.array(model.weights)
-    at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                texts = [(t or "").encode() for t in batch.column(at).to_pylist()]
+                texts = batch.column(0).to_pylist()
                 found = np.minimum(np.array([votes(t, mined) for t in texts], float), 7)
                 yield batch.filter(pa.array(sigmoid(features(found) @ weights) < 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+    packed = docs.select(text_of(text_col).cast("binary").alias("t"), F.struct("*").alias("row"))
+    return packed.mapInArrow(run, packed.schema).select("row.*")
