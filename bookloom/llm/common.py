@@ -20,7 +20,8 @@ NO_ID = (1 << 63) - 1  # orders rows without an id behind all others
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Hand this package to the executors, once per context, as `--py-files` would."""
+    """Hand this package to the executors, once per context, as `--py-files` would; keep Arrow batches of texts small."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     context = spark.sparkContext
     if SHIPPED.get(context.applicationId) is None:
         root = Path(bookloom.__file__).resolve().parent

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import base64
 import os
-import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
@@ -16,44 +16,43 @@ from pyspark.sql import functions as F
 
 from bookloom.llm.common import col, lists, stored, text_of
 
-INSIDE = re.compile(r"(?<=\S) (?=\S)")
-ENCODERS: dict[str, Encoder] = {}
+# Fixed value: how byte-level BPE of this kind cuts a text before merging.
+PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+ENCODERS: dict[tuple[str, str | None], Encoder] = {}
 
 
 class Encoder:
     """Token ids of texts as packed 16-bit or 32-bit values, by a byte-level BPE file of `tokenizers`.
 
-    Its pre-tokens never reach across a single blank between two visible characters, so a text is encoded in the
-    pieces between those, and the ids of a piece are remembered up to a bound.
+    `ranks` may name the same vocabulary as ranks, with which `tiktoken` finds the same ids several times as fast; texts
+    that hold a special token's string are left to the first file, which knows those.
     """
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, ranks: str | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
+        self.special = [t.content for t in self.model.get_added_tokens_decoder().values()]
         self.kind = "H" if self.model.get_vocab_size() <= 1 << 16 else "I"
-        self.most, self.seen = most, {}
+        self.fast = None
+        if ranks:
+            import tiktoken
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.seen) > self.most:
-            self.seen.clear()
-        seen, out = self.seen, []
-        for text in texts:
-            first, *rest = INSIDE.split(text)
-            pieces = [first, *[" " + r for r in rest]] if text else []
-            fresh = [p for p in set(pieces) if p not in seen]
-            if fresh:
-                for piece, found in zip(fresh, self.model.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-                    seen[piece] = array(self.kind, found.ids).tobytes()
-            out.append(b"".join([seen[p] for p in pieces]))
-        return out
+            with open(ranks, "rb") as lines:
+                table = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+            self.fast = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=table, special_tokens={})
 
+    def __call__(self, text: str) -> bytes:
+        if self.fast is None or any(s in text for s in self.special):
+            return array(self.kind, self.model.encode(text, add_special_tokens=False).ids).tobytes()
+        return array(self.kind, self.fast.encode_ordinary(text)).tobytes()
 
-def encoder(path: str) -> Encoder:
-    if path not in ENCODERS:
-        ENCODERS[path] = Encoder(path)
-    return ENCODERS[path]
+
+def encoder(path: str, ranks: str | None = None) -> Encoder:
+    if (path, ranks) not in ENCODERS:
+        ENCODERS[path, ranks] = Encoder(path, ranks)
+    return ENCODERS[path, ranks]
 
 
 class Schedule:
@@ -111,7 +110,8 @@ class Schedule:
 
 def pack(
     docs: DataFrame, tokenizer: str, window: int = 1024, mixture_windows: int = 64, weights: dict[str, float] | None = None,
-    end_id: int = 0, most_queues: int = 1000, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+    end_id: int = 0, ranks: str | None = None, most_queues: int = 1000, id_col: str = "doc_id", text_col: str = "text",
+    source_col: str = "source",
 ) -> DataFrame:
     """Pieces of documents in gapless sequences of `window` tokens: doc_id, start, length, doc_tokens, sequence_id,
     offset, ids (binary, little-endian unsigned 32-bit).
@@ -132,12 +132,12 @@ def pack(
     others = len(names)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, served, model = TaskContext.get().partitionId(), [0] * (others + 1), encoder(tokenizer)
+        part, served, model = TaskContext.get().partitionId(), [0] * (others + 1), encoder(tokenizer, ranks)
         end = array(model.kind, [end_id])
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 ids, texts, sources = (batch.slice(at, 500).column(i).to_pylist() for i in range(3))
-                coded = [c + end.tobytes() for c in model(texts)]
+                coded = [model(t) + end.tobytes() for t in texts]
                 queues = [place.get(s, others) for s in sources]
                 sizes, before = [len(c) // end.itemsize for c in coded], []
                 for q, n in zip(queues, sizes, strict=True):

@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from bookloom.llm import chat, decontamination, packing, pii, quality, repeats, secrets, simhash, toxicity, warc
 from bookloom.llm.common import load
 
-TOKENIZER = "byte_bpe_50k.json"
+TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 OWN_CONVERSATION = "</s>[INST] ok [/INST]"
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def span_list(spans, *, base_only: bool = False):
@@ -93,7 +93,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(load(spark, sf_dir, "documents"), tokenizer_path())
+    pieces = packing.pack(load(spark, sf_dir, "documents"), tokenizer_path(), ranks=tokenizer_path(RANKS))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 

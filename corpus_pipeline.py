@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from bookloom.llm import decontamination, packing, pii, simhash, toxicity
 from bookloom.llm.common import load, stored
-from bookloom.llm.queries import tokenizer_path
+from bookloom.llm.queries import RANKS, tokenizer_path
 
 
 def clean_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +36,7 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences, with their ids as little-endian unsigned 32-bit values."""
-    pieces = packing.pack(docs, tokenizer_path())
+    pieces = packing.pack(docs, tokenizer_path(), ranks=tokenizer_path(RANKS))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "ids")
 
 

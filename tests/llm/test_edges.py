@@ -3,11 +3,12 @@
 import random
 
 import brute
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from bookloom.llm import chat, decontamination, packing, pii, quality, repeats, secrets, simhash, toxicity, warc
-from bookloom.llm.queries import tokenizer_path
+from bookloom.llm.queries import RANKS, tokenizer_path
 
 DICE = random.Random(5)
 VOCABULARY = ["".join(DICE.choice("abcdefghijklmnop") for _ in range(DICE.randint(2, 9))) for _ in range(3000)]
@@ -291,11 +292,13 @@ def test_toxicity_ignores_held_out_labels(spark):
     assert all((s >= 0.5) == (i % 3 == 0) for i, s in a)
 
 
-def test_encoder_by_pieces_equals_whole_texts():
+def test_encoder_by_ranks_finds_the_same_ids(small):
     texts = [t or "" for _, t in ROWS] + ["  two  blanks \n\n lines\t\ttabs ", "don't  they'll <|endoftext|> x", " lead", "trail ", "a b 　 c", "1 234 567,89 % 12"]
-    coder = packing.Encoder(tokenizer_path())
-    for text, packed, want in zip(texts, coder(texts), brute.token_ids(texts, tokenizer_path()), strict=True):
-        assert list(memoryview(packed).cast("H")) == want[:-1], text[:80]
+    texts += [" " * 50_000 + "a", "z" * 100_000, "\n \n" * 3000]
+    texts += pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column("text").to_pylist()
+    coder = packing.Encoder(tokenizer_path(), tokenizer_path(RANKS))
+    for text, want in zip(texts, brute.token_ids(texts, tokenizer_path()), strict=True):
+        assert list(memoryview(coder(text)).cast("H")) == want[:-1], text[:80]
 
 
 @pytest.mark.parametrize("weights", [None, {"src": 3.0, "*": 1.0}, {"src": 1.0}])
