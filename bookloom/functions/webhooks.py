@@ -43,15 +43,17 @@ def text_of(content: Column) -> Column:
 def parse_members(content: Column, text: Column) -> Column:
     """The text parsed as the members of an array; null when that is no JSON or the bytes are not UTF-8.
 
-    Inside an array the parser notices what follows a complete value; on its own it would accept any rest.
+    The parser stops behind a complete value and accepts any rest. So the text is put into an array before its own
+    hash, which no text can contain: only if the text is one whole value does the hash stand second and last.
     """
-    members = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    members = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), F.sha2(text, 256), F.lit('"]')))
     return F.when(F.is_valid_utf8(content.cast("string")), members)
 
 
-def only_member(members: Column) -> Column:
-    """The JSON value as a variant, or null when there is none or more than one."""
-    alone = F.try_variant_get(members, "$[1]", "variant").isNull()
+def only_member(members: Column, text: Column) -> Column:
+    """The JSON value as a variant, or null when the text is not exactly one."""
+    alone = (F.try_variant_get(members, "$[1]", "string") == F.sha2(text, 256)) & F.try_variant_get(
+        members, "$[2]", "variant").isNull()
     return F.when(alone, F.try_variant_get(members, "$[0]", "variant"))
 
 

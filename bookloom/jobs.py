@@ -3,9 +3,11 @@
     spark-submit bookloom/jobs.py events  --lake s3a://bucket/lake --bronze s3a://bucket/raw --start 2025-09-30 --end 2025-10-06
     spark-submit bookloom/jobs.py spend   --lake ... --files s3a://bucket/spend --day ALL
     spark-submit bookloom/jobs.py build   --lake ... [--table cpb_by_channel]
-    spark-submit bookloom/jobs.py refresh --lake ... --as-of 2025-10-09 [--table ...] [--append]
+    spark-submit bookloom/jobs.py refresh --lake ... --as-of 2025-10-09 [--table ...] [--append] [--database marketing]
     spark-submit bookloom/jobs.py register --lake ... --database marketing
     spark-submit bookloom/jobs.py intake  --lake ... --envelopes s3a://bucket/landed
+
+With `--database` a run lets the tables registered there show the partitions it wrote.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from bookloom import schemas  # noqa: E402
 from bookloom.functions import times as T  # noqa: E402
 from bookloom.plans import gold, refresh, silver  # noqa: E402
 from bookloom.session import build_session  # noqa: E402
-from bookloom.sinks.catalog import register_tables, verify_tables  # noqa: E402
+from bookloom.sinks.catalog import register_tables, sync_table, verify_tables  # noqa: E402
 from bookloom.sources.spend import ALL  # noqa: E402
 from bookloom.sources.tables import load_table  # noqa: E402
 from bookloom.sources.webhooks import stream_envelopes  # noqa: E402
@@ -88,15 +90,27 @@ def refresh_gold(spark: SparkSession, lake: Lake, name: str, as_of: T.Day, mode:
     return refresh.refresh(name, *silver_tables(spark, lake), lake.gold(name), as_of, mode)
 
 
+def lake_tables(lake: Lake) -> dict[str, tuple[str, schemas.TableLayout]]:
+    """Folder and layout of the silver and gold tables."""
+    tables = {schemas.EVENTS.name: (lake.events, schemas.EVENTS), schemas.SPEND.name: (lake.spend, schemas.SPEND)}
+    return {**tables, **{name: (lake.gold(name), layout) for name, layout in schemas.GOLD.items()}}
+
+
 def register_lake(spark: SparkSession, lake: Lake, database: str) -> DataFrame:
     """Catalog entries for the silver and gold tables; returns their row counts."""
-    tables = {schemas.EVENTS.name: (lake.events, schemas.EVENTS), schemas.SPEND.name: (lake.spend, schemas.SPEND)}
-    tables.update({name: (lake.gold(name), layout) for name, layout in schemas.GOLD.items()})
+    tables = lake_tables(lake)
     register_tables(spark, database, tables)
     counts, _ = verify_tables(spark, {f"{database}.{name}": layout.columns for name, (_, layout) in tables.items()})
     return counts
 
 
+def sync_lake(spark: SparkSession, lake: Lake, database: str) -> None:
+    """Let the registered tables show what the last run wrote."""
+    for name, (_, layout) in lake_tables(lake).items():
+        if spark.catalog.tableExists(f"{database}.{name}"):
+            sync_table(spark, f"{database}.{name}", layout)
+
+
 def follow_webhooks(spark: SparkSession, lake: Lake, envelopes: str, max_files: int | None = None) -> None:
     """Take in the envelopes that have arrived, then rebuild the silver days they touch."""
     source = stream_envelopes(spark, envelopes, max_files)
@@ -117,10 +131,10 @@ def parser() -> argparse.ArgumentParser:
             one.add_argument(option)
         return one
 
-    run("events", "--bronze", "--start", "--end").add_argument("--append", action="store_true")
-    run("spend", "--files").add_argument("--day", default=ALL)
-    run("build", optional=("--table",))
-    run("refresh", "--as-of", optional=("--table",)).add_argument("--append", action="store_true")
+    run("events", "--bronze", "--start", "--end", optional=("--database",)).add_argument("--append", action="store_true")
+    run("spend", "--files", optional=("--database",)).add_argument("--day", default=ALL)
+    run("build", optional=("--table", "--database"))
+    run("refresh", "--as-of", optional=("--table", "--database")).add_argument("--append", action="store_true")
     run("register", "--database")
     run("intake", "--envelopes").add_argument("--max-files", type=int)
     return top
@@ -146,6 +160,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         register_lake(spark, lake, args.database).show(truncate=False)
     elif args.run == "intake":
         follow_webhooks(spark, lake, args.envelopes, args.max_files)
+    if args.run != "register" and getattr(args, "database", None):
+        sync_lake(spark, lake, args.database)
 
 
 if __name__ == "__main__":

@@ -24,8 +24,8 @@ def optional_in(
     df: DataFrame, column: str, selected: Sequence[str] | None, universe: Sequence[str] | None = None,
 ) -> DataFrame:
     """Keep the selected values. Selecting nothing, or every known option, means no filter at all."""
-    chosen = list(selected or [])
-    if not chosen or (universe is not None and len(chosen) >= len(universe)):
+    chosen = list(dict.fromkeys(selected or []))
+    if not chosen or (universe is not None and set(chosen) >= set(universe)):
         return df
     return df.filter(F.col(column).isin(chosen))
 

@@ -58,8 +58,8 @@ def campaign_daily(events: DataFrame, spend: DataFrame, mode: str = "proportiona
     A booking with several campaigns counts once for each of them and once for the channel. `mode="integer"`
     truncates the part to 0 or more whole times, as a division of two bigints does.
 
-    Both counts are made on the events and joined afterwards: the day-and-channel side is small and is broadcast by
-    its measured size, so the campaign side is not shuffled again.
+    The rows are made distinct once, and both counts are taken from these: one scan and one shuffle of the ids. The
+    day-and-channel side is small and is broadcast by its measured size, so the campaign side is not shuffled again.
     """
     if mode not in ("proportional", "integer"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -68,8 +68,8 @@ def campaign_daily(events: DataFrame, spend: DataFrame, mode: str = "proportiona
         F.col("channel").alias("source"),
         blank_to_null(F.col("utm_campaign")).alias("campaign"),
         "booking_id",
-    )
-    per_campaign = count_bookings(booked, ["dt", "source", "campaign"])
+    ).distinct()
+    per_campaign = count_bookings(booked, ["dt", "source", "campaign"], distinct=False)
     per_channel = count_bookings(booked, ["dt", "source"]).withColumnRenamed("bookings", "channel_bookings")
     spent = with_channel(spend).groupBy(F.to_date("dt").alias("dt"), F.col("channel").alias("source")).agg(
         sum_money(F.col("spend")).alias("channel_spend"))

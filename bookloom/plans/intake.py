@@ -24,7 +24,7 @@ def route_webhooks(envelopes: DataFrame) -> DataFrame:
     # where they would repeat it.
     parsed = texts.withColumns({
         "members": W.parse_members(F.col("content"), F.col("text")), "random_id": F.uuid()})
-    return parsed.withColumn("value", W.only_member(F.col("members"))).select(
+    return parsed.withColumn("value", W.only_member(F.col("members"), F.col("text"))).select(
         F.date_format("received_at", "yyyy-MM-dd").alias("dt"),
         "received_at",
         "body",

@@ -52,20 +52,16 @@ def booked_within(start: T.Day, end: T.Day, zone: str) -> Column:
 
 
 def time_features_on_days(
-    events: DataFrame, days: Iterable[T.Day], zone: str = T.NEW_YORK, max_delay_days: int | None = None,
+    events: DataFrame, days: Iterable[T.Day], zone: str = T.NEW_YORK,
 ) -> DataFrame:
     """Complete local days.
 
-    The time filter reaches the scan, but a booking may be received on any later day, so all partitions are opened.
-    Where webhooks are known to arrive within `max_delay_days` of the booking, only those partitions are read.
+    The time filter reaches the scan, but a booking may be received on any later day, so all partitions are opened:
+    a bound on the delay would leave out, and in a replaced partition delete, what arrived later.
     """
     chosen = sorted(T.iso(d) for d in days)
     if not chosen:
         return gold.time_features(events, zone).limit(0)
-    if max_delay_days is not None:
-        # A local day touches the UTC days before and after it.
-        first, last = T.as_day(chosen[0]), T.as_day(chosen[-1])
-        events = received(events, first - timedelta(days=1), last + timedelta(days=1 + max_delay_days))
     near = events.filter(booked_within(chosen[0], chosen[-1], zone))
     return gold.time_features(near, zone).filter(T.on_any_day(F.col("booking_date_local"), chosen))
 
@@ -145,7 +141,7 @@ def refresh_campaign_daily(
 
 def refresh_time_features(
     events: DataFrame, path: str, start: T.Day, end: T.Day, mode: str = "overwrite", by: str = "local_day",
-    zone: str = T.NEW_YORK, max_delay_days: int | None = None,
+    zone: str = T.NEW_YORK,
 ) -> list[str]:
     """`by="local_day"`: the local days of the range. `by="ingest_day"`: what was received in the range.
 
@@ -161,7 +157,7 @@ def refresh_time_features(
     else:
         days = partitions_in(time_features_received(events, start, end, zone), "booking_date_local")
     scope = T.on_any_day(F.col("booking_date_local"), days)
-    rows = time_features_on_days(events, days, zone, max_delay_days)
+    rows = time_features_on_days(events, days, zone)
     return write_slice(rows, path, schemas.TIME_FEATURES, mode, scope)
 
 

@@ -39,6 +39,13 @@ def register_tables(
         create_external(spark, f"{database}.{name}", path, layout, fmt)
 
 
+def sync_table(spark: SparkSession, table: str, layout: TableLayout) -> None:
+    """Let a registered table show what its folder holds now: partitions written since, and new files."""
+    if layout.by:
+        spark.sql(f"MSCK REPAIR TABLE {quoted(table)} SYNC PARTITIONS")
+    spark.catalog.refreshTable(table)
+
+
 def swap_table(df: DataFrame, table: str, base: str, layout: TableLayout, fmt: str = "parquet") -> str:
     """Full refresh of a table without partitions, for readers that must never see it missing or half-written.
 

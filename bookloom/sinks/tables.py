@@ -26,8 +26,12 @@ def write_table(
     df: DataFrame, path: str, by: Sequence[str] = (), mode: str = "append", fmt: str = "parquet", rebalance: bool = True,
     sort_by: str | None = None,
 ) -> None:
-    """Write the rows. With `append` a second run adds them again."""
-    laid_out(df, by, rebalance, sort_by).write.format(fmt).mode(mode).partitionBy(*by).save(path)
+    """Write the rows. With `append` a second run adds them again; `overwrite` replaces the whole table, whatever
+    overwrite mode the session has for partitions."""
+    writer = laid_out(df, by, rebalance, sort_by).write.format(fmt).mode(mode)
+    if mode == "overwrite":
+        writer = writer.option("partitionOverwriteMode", "static")
+    writer.partitionBy(*by).save(path)
 
 
 def partitions_in(df: DataFrame, column: str) -> list[str]:
@@ -36,15 +40,13 @@ def partitions_in(df: DataFrame, column: str) -> list[str]:
     return sorted(str(row[0]) for row in days.collect())
 
 
-def read_back(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
+def read_back(df: DataFrame, path: str) -> DataFrame:
     """The table in a folder, read with the columns and types of `df`."""
-    reader = df.sparkSession.read.format(fmt)
-    return (reader if fmt == "delta" else reader.schema(df.schema)).load(path).select(*df.columns)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def overwrite_partitions(
-    df: DataFrame, path: str, by: str, scope: Column | None = None, fmt: str = "parquet", rebalance: bool = True,
-    sort_by: str | None = None,
+    df: DataFrame, path: str, by: str, scope: Column | None = None, rebalance: bool = True, sort_by: str | None = None,
 ) -> list[str]:
     """Replace the partitions that occur in `df` and keep all others; returns the replaced ones.
 
@@ -54,27 +56,27 @@ def overwrite_partitions(
     spark = df.sparkSession
     stale: set[str] = set()
     if scope is not None and path_exists(spark, path):
-        stale = set(partitions_in(read_back(df, path, fmt).filter(scope), by))
+        stale = set(partitions_in(read_back(df, path).filter(scope), by))
     # The written partitions are noted during the write itself; asking `df` would compute it a second time.
     seen = Observation()
     (laid_out(df, [by], rebalance, sort_by)
         .observe(seen, F.collect_set(F.col(by).cast("string")).alias("written"))
-        .write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).save(path))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path))
     written = set(seen.get["written"] or [])
     empty = spark.createDataFrame([], df.drop(by).schema)
     for partition in sorted(stale - written):
-        empty.write.format(fmt).mode("overwrite").save(f"{path.rstrip('/')}/{by}={partition}")
+        empty.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{by}={partition}")
     return sorted(written | stale)
 
 
 def replace_days(
-    df: DataFrame, path: str, by: str, days: Iterable[Day] | None = None, fmt: str = "parquet",
+    df: DataFrame, path: str, by: str, days: Iterable[Day] | None = None,
 ) -> list[str]:
     """Replace exactly `days` by the rows of `df` on these days; by default the days that occur in `df`."""
     if days is None:
-        return overwrite_partitions(df, path, by, fmt=fmt)
+        return overwrite_partitions(df, path, by)
     chosen = F.col(by).isin([iso(d) for d in days])
-    return overwrite_partitions(df.filter(chosen), path, by, scope=chosen, fmt=fmt)
+    return overwrite_partitions(df.filter(chosen), path, by, scope=chosen)
 
 
 def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:

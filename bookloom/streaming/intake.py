@@ -25,7 +25,7 @@ def start_intake(
 
     By default every delivery is appended and repeated ones are resolved when a day is read (`latest_copies`): no
     state to keep, no late row lost, and the last copy wins as in the batch form. With `dedup_within` (for example
-    "1 day") repeats that follow within that time are dropped on arrival and the first copy stays; rows later than
+    "1 day") of the copies within that time the one that is read first stays, any one inside a micro-batch; rows later than
     the watermark are dropped by Spark, so use it only where deliveries cannot be that late.
     """
     trigger = trigger or ONCE

@@ -59,7 +59,8 @@ def test_empty_body_is_an_empty_object(spark, body, is_base64):
 
 
 @pytest.mark.parametrize("body", [
-    "junk", '{"a": 1} junk', '{"a": 1}{"b": 2}', '{"a": 1},{"b": 2}', "{'a': 1}", '"open', "   ", '{"a": 01}'])
+    "junk", '{"a": 1} junk', '{"a": 1}{"b": 2}', '{"a": 1},{"b": 2}', "{'a': 1}", '"open', "   ", '{"a": 01}',
+    '{"event":"x","payload":{"uri":"u"}}], [1', "1], [2"])
 def test_no_json_is_kept_as_raw(spark, body):
     [row], rejects = stored(spark, body)
     assert json.loads(row["body"]) == {"raw": body} and row["event"] == "unknown_event" and not rejects

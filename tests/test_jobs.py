@@ -39,6 +39,10 @@ def test_backfill_then_daily_runs(spark, tmp_path):
     jobs.main(["register", *root, "--database", "jobs_db"], spark)
     assert spark.table("jobs_db.events_spend").count() == 27
     assert spark.table(f"jobs_db.{schemas.CUMULATIVE.name}").count() == 9
+    by_name = spark.table(f"jobs_db.{schemas.EVENTS.name}").count()
+    write_bronze(bronze, "2025-10-20", bodies("2025-10-20", 2))
+    jobs.main(["events", *root, "--bronze", str(bronze), "--start", "2025-10-20", "--end", "2025-10-20", "--database", "jobs_db"], spark)
+    assert spark.table(f"jobs_db.{schemas.EVENTS.name}").count() == by_name + 2
     spark.sql("DROP DATABASE jobs_db CASCADE")
 
 

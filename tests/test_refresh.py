@@ -53,10 +53,29 @@ def test_time_features_by_day_of_receipt_equals_full_build(spark, silver, tmp_pa
     assert values(stored) == values(gold.time_features(silver[0]))
 
 
-def test_known_delay_gives_the_same_rows(spark, silver):
-    days = ["2024-01-06", "2024-01-07"]
-    near = refresh.time_features_on_days(silver[0], days, max_delay_days=0)
-    assert values(near) == values(refresh.time_features_on_days(silver[0], days))
+def test_a_booking_received_late_survives_a_refresh(spark, silver, tmp_path):
+    late = silver[0].limit(1).withColumns({
+        "booking_created_at": F.lit("2024-01-06 18:00:00").cast("timestamp"), "channel": F.lit("late"), "dt": F.lit("2024-03-01")})
+    events = silver[0].unionByName(late.select(*silver[0].columns))
+    path = str(tmp_path / "t")
+    refresh.refresh_time_features(events, path, "2024-01-06", "2024-01-06")
+    stored = load_table(spark, path, schemas.TIME_FEATURES)
+    assert stored.filter("source = 'late'").count() == 1
+    assert values(stored) == values(gold.time_features(events).filter("booking_date_local = date '2024-01-06'"))
+
+
+def test_full_build_replaces_all_days_in_either_overwrite_mode(spark, silver, tmp_path):
+    for mode in ("static", "dynamic"):
+        path = str(tmp_path / mode)
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+        try:
+            rows = gold.daily_bookings(silver[0])
+            refresh.build(path, schemas.DAILY_BOOKINGS, rows)
+            few = rows.filter("booking_date < date '2024-01-10'")
+            refresh.build(path, schemas.DAILY_BOOKINGS, few)
+        finally:
+            spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+        assert values(load_table(spark, path, schemas.DAILY_BOOKINGS)) == values(few.select(*schemas.DAILY_BOOKINGS.columns))
 
 
 def test_time_features_by_local_day(spark, silver, tmp_path):

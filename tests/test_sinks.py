@@ -62,6 +62,9 @@ def test_register_and_verify(spark, tmp_path):
     counts, samples = catalog.verify_tables(spark, {"check_db.events_spend": ["dt"]})
     assert values(counts) == [("check_db.events_spend", 2)]
     assert len(samples["check_db.events_spend"].collect()) == 2
+    write_table(rows(spark, "2025-10-03"), path, ["dt"])
+    catalog.sync_table(spark, "check_db.events_spend", schemas.SPEND)
+    assert spark.table("check_db.events_spend").count() == 3
     spark.sql("DROP DATABASE check_db CASCADE")
 
 
