@@ -34,6 +34,21 @@ def date_range(start: Day, end: Day) -> list[str]:
     return [(first + timedelta(days=n)).isoformat() for n in range((last - first).days + 1)]
 
 
+def next_day(day: Day) -> date:
+    return as_day(day) + timedelta(days=1)
+
+
+def stretches(days: Iterable[Day]) -> list[tuple[date, date]]:
+    """Days as first and last of each run of consecutive ones."""
+    out: list[tuple[date, date]] = []
+    for day in sorted({as_day(d) for d in days}):
+        if out and day == next_day(out[-1][1]):
+            out[-1] = (out[-1][0], day)
+        else:
+            out.append((day, day))
+    return out
+
+
 def monday_of(day: Day) -> date:
     d = as_day(day)
     return d - timedelta(days=d.weekday())

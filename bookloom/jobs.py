@@ -3,7 +3,9 @@
     spark-submit bookloom/jobs.py events  --lake s3a://bucket/lake --bronze s3a://bucket/raw --start 2025-09-30 --end 2025-10-06
     spark-submit bookloom/jobs.py spend   --lake ... --files s3a://bucket/spend --day ALL
     spark-submit bookloom/jobs.py build   --lake ... [--table cpb_by_channel]
+    spark-submit bookloom/jobs.py events  --lake ... --from-table --start 2025-09-30 --end 2025-10-06
     spark-submit bookloom/jobs.py refresh --lake ... --as-of 2025-10-09 [--table ...] [--append] [--database marketing]
+    spark-submit bookloom/jobs.py refresh --lake ... --start 2025-10-07 --end 2025-10-08 [--weeks 2025-10-06]
     spark-submit bookloom/jobs.py register --lake ... --database marketing
     spark-submit bookloom/jobs.py intake  --lake ... --envelopes s3a://bucket/landed
 
@@ -24,14 +26,14 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from bookloom import schemas  # noqa: E402
 from bookloom.functions import times as T  # noqa: E402
-from bookloom.plans import gold, refresh, silver  # noqa: E402
+from bookloom.plans import gold, ranges, refresh, silver  # noqa: E402
 from bookloom.session import build_session  # noqa: E402
 from bookloom.sinks.catalog import register_tables, sync_table, verify_tables  # noqa: E402
 from bookloom.sources.spend import ALL  # noqa: E402
 from bookloom.sources.tables import load_table  # noqa: E402
 from bookloom.sources.webhooks import stream_envelopes  # noqa: E402
 from bookloom.streaming.intake import start_intake  # noqa: E402
-from bookloom.streaming.silver import start_silver  # noqa: E402
+from bookloom.streaming.silver import rebuild_days, start_silver  # noqa: E402
 
 
 @dataclass(frozen=True)
@@ -55,6 +57,10 @@ class Lake:
     def events(self) -> str:
         return self.path("silver", schemas.EVENTS.name)
 
+    @property
+    def ranges(self) -> str:
+        return self.path("silver", schemas.EVENT_RANGES.name)
+
     @property
     def spend(self) -> str:
         return self.path("silver", schemas.SPEND.name)
@@ -85,9 +91,16 @@ def build_gold(spark: SparkSession, lake: Lake, name: str) -> None:
     refresh.build(lake.gold(name), schemas.GOLD[name], BUILDERS[name](*silver_tables(spark, lake)))
 
 
-def refresh_gold(spark: SparkSession, lake: Lake, name: str, as_of: T.Day, mode: str = "overwrite") -> list[str]:
-    """The daily run of one reporting table: the day before `as_of`."""
-    return refresh.refresh(name, *silver_tables(spark, lake), lake.gold(name), as_of, mode)
+def refresh_gold(
+    spark: SparkSession, lake: Lake, name: str, start: T.Day, end: T.Day, mode: str = "overwrite",
+    weeks: list[T.Day] | None = None,
+) -> list[str]:
+    """The days from `start` to `end` of one reporting table; of the meetings table the given weeks, if any."""
+    known = ranges.load(spark, lake.ranges)
+    if weeks and name == schemas.MEETING_FEATURES.name:
+        events, _ = silver_tables(spark, lake)
+        return refresh.refresh_meeting_features(events, lake.gold(name), weeks=weeks, mode=mode, ranges=known)
+    return refresh.refresh_range(name, *silver_tables(spark, lake), lake.gold(name), start, end, mode, known)
 
 
 def lake_tables(lake: Lake) -> dict[str, tuple[str, schemas.TableLayout]]:
@@ -116,7 +129,7 @@ def follow_webhooks(spark: SparkSession, lake: Lake, envelopes: str, max_files:
     source = stream_envelopes(spark, envelopes, max_files)
     for query in start_intake(source, lake.bronze, lake.rejects, lake.state("intake")):
         query.awaitTermination()
-    start_silver(spark, lake.bronze, lake.events, lake.state("silver")).awaitTermination()
+    start_silver(spark, lake.bronze, lake.events, lake.state("silver"), ranges_path=lake.ranges).awaitTermination()
 
 
 def parser() -> argparse.ArgumentParser:
@@ -131,23 +144,43 @@ def parser() -> argparse.ArgumentParser:
             one.add_argument(option)
         return one
 
-    run("events", "--bronze", "--start", "--end", optional=("--database",)).add_argument("--append", action="store_true")
+    events = run("events", "--start", "--end", optional=("--bronze", "--database"))
+    events.add_argument("--append", action="store_true")
+    events.add_argument("--from-table", action="store_true", help="replay the bronze table of the lake instead of JSON folders")
     run("spend", "--files", optional=("--database",)).add_argument("--day", default=ALL)
     run("build", optional=("--table", "--database"))
-    run("refresh", "--as-of", optional=("--table", "--database")).add_argument("--append", action="store_true")
+    again = run("refresh", optional=("--as-of", "--start", "--end", "--table", "--database"))
+    again.add_argument("--append", action="store_true")
+    again.add_argument("--weeks", nargs="+", help="Mondays of the weeks to rebuild in the meetings table")
     run("register", "--database")
     run("intake", "--envelopes").add_argument("--max-files", type=int)
     return top
 
 
+def asked_days(args: argparse.Namespace) -> tuple[T.Day, T.Day]:
+    """The range of a refresh: `--start` to `--end`, or the day before `--as-of`."""
+    return (args.start, args.end) if args.start else (T.yesterday(args.as_of), T.yesterday(args.as_of))
+
+
+def check(top: argparse.ArgumentParser, args: argparse.Namespace) -> None:
+    if args.run == "refresh" and (bool(args.start) != bool(args.end) or bool(args.as_of) == bool(args.start)):
+        top.error("refresh takes either --as-of, or --start and --end")
+    if args.run == "events" and (bool(args.bronze) == args.from_table or (args.from_table and args.append)):
+        top.error("events takes either --bronze, or --from-table, which always replaces")
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
-    args = parser().parse_args(argv)
+    top = parser()
+    args = top.parse_args(argv)
+    check(top, args)
     spark = spark or build_session(f"bookloom-{args.run}")
     lake = Lake(args.lake)
     mode = "append" if getattr(args, "append", False) else "overwrite"
     names = [args.table] if getattr(args, "table", None) else list(schemas.GOLD)
-    if args.run == "events":
-        silver.rebuild_events(spark, args.bronze, lake.events, args.start, args.end, mode=mode)
+    if args.run == "events" and args.from_table:
+        rebuild_days(spark, lake.bronze, lake.events, T.date_range(args.start, args.end), ranges_path=lake.ranges)
+    elif args.run == "events":
+        silver.rebuild_events(spark, args.bronze, lake.events, args.start, args.end, mode=mode, ranges_path=lake.ranges)
     elif args.run == "spend":
         silver.build_spend(spark, args.files, lake.spend, args.day)
     elif args.run == "build":
@@ -155,7 +188,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
             build_gold(spark, lake, name)
     elif args.run == "refresh":
         for name in names:
-            refresh_gold(spark, lake, name, args.as_of, mode)
+            refresh_gold(spark, lake, name, *asked_days(args), mode, args.weeks)
     elif args.run == "register":
         register_lake(spark, lake, args.database).show(truncate=False)
     elif args.run == "intake":

@@ -7,8 +7,9 @@ default replaces whole partitions, so that running it twice, or late, gives what
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from bookloom import schemas
 from bookloom.functions import times as T
 from bookloom.operators.running import latest_before
 from bookloom.plans import gold
+from bookloom.plans.ranges import skip
 from bookloom.sinks.tables import overwrite_partitions, overwrite_table, partitions_in, write_table
 from bookloom.sources.tables import load_or_empty
 
@@ -51,18 +53,25 @@ def booked_within(start: T.Day, end: T.Day, zone: str) -> Column:
         created.isNull() & T.within_local_days(arrived, start, end, zone))
 
 
+def in_any(condition: Callable[[T.Day, T.Day], Column], stretches: list[tuple[T.Day, T.Day]]) -> Column:
+    return reduce(Column.__or__, [condition(start, end) for start, end in stretches])
+
+
 def time_features_on_days(
-    events: DataFrame, days: Iterable[T.Day], zone: str = T.NEW_YORK,
+    events: DataFrame, days: Iterable[T.Day], zone: str = T.NEW_YORK, ranges: DataFrame | None = None,
 ) -> DataFrame:
     """Complete local days.
 
-    The time filter reaches the scan, but a booking may be received on any later day, so all partitions are opened:
-    a bound on the delay would leave out, and in a replaced partition delete, what arrived later.
+    The time filter reaches the scan, each run of consecutive days for itself. A booking may be received on any later
+    day; with the recorded `ranges` (see plans.ranges) only the partitions that hold such bookings are opened, else all.
     """
     chosen = sorted(T.iso(d) for d in days)
     if not chosen:
         return gold.time_features(events, zone).limit(0)
-    near = events.filter(booked_within(chosen[0], chosen[-1], zone))
+    runs = T.stretches(chosen)
+    if ranges is not None:
+        events = skip(events, ranges, "booked", runs, zone)
+    near = events.filter(in_any(lambda start, end: booked_within(start, end, zone), runs))
     return gold.time_features(near, zone).filter(T.on_any_day(F.col("booking_date_local"), chosen))
 
 
@@ -71,19 +80,31 @@ def time_features_received(events: DataFrame, start: T.Day, end: T.Day, zone: st
     return gold.time_features(received(events, start, end), zone)
 
 
+def meeting_features_on_days(
+    events: DataFrame, start: T.Day, end: T.Day, zone: str = T.NEW_YORK, ranges: DataFrame | None = None,
+) -> DataFrame:
+    """Meetings of the local days from `start` to `end`."""
+    if ranges is not None:
+        events = skip(events, ranges, "meeting", [(start, end)], zone)
+    near = events.filter(T.within_local_days(F.col("scheduled_event_start"), start, end, zone))
+    return gold.meeting_features(near, zone).filter(T.in_days(F.col("meeting_date"), start, end))
+
+
 def meeting_features_on_day(events: DataFrame, day: T.Day, zone: str = T.NEW_YORK) -> DataFrame:
-    """Meetings of one local day."""
-    near = events.filter(T.within_local_days(F.col("scheduled_event_start"), day, day, zone))
-    return gold.meeting_features(near, zone).filter(T.on_day(F.col("meeting_date"), day))
+    return meeting_features_on_days(events, day, day, zone)
 
 
-def meeting_features_in_weeks(events: DataFrame, weeks: Iterable[T.Day], zone: str = T.NEW_YORK) -> DataFrame:
-    """Meetings of whole weeks, named by their Mondays."""
+def meeting_features_in_weeks(
+    events: DataFrame, weeks: Iterable[T.Day], zone: str = T.NEW_YORK, ranges: DataFrame | None = None,
+) -> DataFrame:
+    """Meetings of whole weeks, named by their Mondays; weeks that do not follow each other are filtered each for itself."""
     mondays = sorted(T.iso(w) for w in weeks)
     if not mondays:
         return gold.meeting_features(events, zone).limit(0)
-    last_sunday = T.as_day(mondays[-1]) + timedelta(days=6)
-    near = events.filter(T.within_local_days(F.col("scheduled_event_start"), mondays[0], last_sunday, zone))
+    runs = T.stretches(day for m in mondays for day in T.date_range(m, T.as_day(m) + timedelta(days=6)))
+    if ranges is not None:
+        events = skip(events, ranges, "meeting", runs, zone)
+    near = events.filter(in_any(lambda start, end: T.within_local_days(F.col("scheduled_event_start"), start, end, zone), runs))
     return gold.meeting_features(near, zone).filter(T.in_weeks(F.col("week_start_date"), mondays))
 
 
@@ -141,7 +162,7 @@ def refresh_campaign_daily(
 
 def refresh_time_features(
     events: DataFrame, path: str, start: T.Day, end: T.Day, mode: str = "overwrite", by: str = "local_day",
-    zone: str = T.NEW_YORK,
+    zone: str = T.NEW_YORK, ranges: DataFrame | None = None,
 ) -> list[str]:
     """`by="local_day"`: the local days of the range. `by="ingest_day"`: what was received in the range.
 
@@ -157,42 +178,56 @@ def refresh_time_features(
     else:
         days = partitions_in(time_features_received(events, start, end, zone), "booking_date_local")
     scope = T.on_any_day(F.col("booking_date_local"), days)
-    rows = time_features_on_days(events, days, zone)
+    rows = time_features_on_days(events, days, zone, ranges)
     return write_slice(rows, path, schemas.TIME_FEATURES, mode, scope)
 
 
 def refresh_meeting_features(
     events: DataFrame, path: str, day: T.Day | None = None, weeks: Iterable[T.Day] | None = None,
-    mode: str = "overwrite", zone: str = T.NEW_YORK,
+    mode: str = "overwrite", zone: str = T.NEW_YORK, last_day: T.Day | None = None, ranges: DataFrame | None = None,
 ) -> list[str]:
-    """Either one local day or whole weeks. The table is stored by week, so replacing a day rebuilds its week."""
+    """Either local days (`day`, up to `last_day` if given) or whole weeks. The table is stored by week, so replacing
+    days rebuilds their weeks."""
     if (day is None) == (weeks is None):
         raise ValueError("name either a day or weeks")
     if day is not None and mode == "append":
-        return write_slice(meeting_features_on_day(events, day, zone), path, schemas.MEETING_FEATURES, mode, None)
-    mondays = [T.monday_of(day)] if day is not None else list(weeks)
+        rows = meeting_features_on_days(events, day, last_day or day, zone, ranges)
+        return write_slice(rows, path, schemas.MEETING_FEATURES, mode, None)
+    if weeks is None:
+        weeks = {T.monday_of(d) for d in T.date_range(day, last_day or day)}
+    mondays = list(weeks)
     scope = T.in_weeks(F.col("week_start_date"), mondays)
-    return write_slice(meeting_features_in_weeks(events, mondays, zone), path, schemas.MEETING_FEATURES, mode, scope)
+    rows = meeting_features_in_weeks(events, mondays, zone, ranges)
+    return write_slice(rows, path, schemas.MEETING_FEATURES, mode, scope)
 
 
-def refresh(
-    name: str, events: DataFrame, spend: DataFrame, path: str, as_of: T.Day, mode: str = "overwrite",
+def refresh_range(
+    name: str, events: DataFrame, spend: DataFrame, path: str, start: T.Day, end: T.Day, mode: str = "overwrite",
+    ranges: DataFrame | None = None,
 ) -> list[str]:
-    """The daily run of one table: the day before `as_of`."""
-    day = T.yesterday(as_of)
+    """The days from `start` to `end` of one table, in one run."""
     if name == schemas.DAILY_BOOKINGS.name:
-        return refresh_daily_bookings(events, path, day, day, mode)
+        return refresh_daily_bookings(events, path, start, end, mode)
     if name == schemas.CPB.name:
         refresh_cpb(events, spend, path)
         return []
     if name == schemas.CUMULATIVE.name:
-        return refresh_cumulative(events, path, day, day, mode)
+        return refresh_cumulative(events, path, start, end, mode)
     if name == schemas.CAMPAIGN_DAILY.name:
-        return refresh_campaign_daily(events, spend, path, day, day, mode)
+        return refresh_campaign_daily(events, spend, path, start, end, mode)
     if name == schemas.TIME_FEATURES.name:
         # Bookings received after midnight UTC belong to the local day before, so replacing goes by day of receipt.
         by = "local_day" if mode == "append" else "ingest_day"
-        return refresh_time_features(events, path, day, day, mode, by)
+        return refresh_time_features(events, path, start, end, mode, by, ranges=ranges)
     if name == schemas.MEETING_FEATURES.name:
-        return refresh_meeting_features(events, path, day=day, mode=mode)
+        return refresh_meeting_features(events, path, day=start, last_day=end, mode=mode, ranges=ranges)
     raise ValueError(f"unknown table {name!r}")
+
+
+def refresh(
+    name: str, events: DataFrame, spend: DataFrame, path: str, as_of: T.Day, mode: str = "overwrite",
+    ranges: DataFrame | None = None,
+) -> list[str]:
+    """The daily run of one table: the day before `as_of`."""
+    day = T.yesterday(as_of)
+    return refresh_range(name, events, spend, path, day, day, mode, ranges)

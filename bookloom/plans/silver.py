@@ -12,6 +12,7 @@ from bookloom.functions import times as T
 from bookloom.functions import webhooks as W
 from bookloom.functions.numbers import as_money
 from bookloom.operators.selection import dedup_latest
+from bookloom.plans import ranges
 from bookloom.sinks.tables import overwrite_partitions, replace_days, write_table
 from bookloom.sources.spend import ALL, read_spend
 from bookloom.sources.webhooks import read_bronze
@@ -77,19 +78,24 @@ def clean_spend(raw: DataFrame) -> DataFrame:
 
 def rebuild_events(
     spark: SparkSession, bronze_root: str, silver_path: str, start: T.Day, end: T.Day,
-    channel_map: dict[str, str] | None = None, mode: str = "overwrite", compact: bool = True,
+    channel_map: dict[str, str] | None = None, mode: str = "overwrite", compact: bool = True, ranges_path: str | None = None,
 ) -> None:
     """Backfill or daily run over stored webhook JSON: all days in one job.
 
     `overwrite` replaces exactly the days from `start` to `end`; `append` adds rows and doubles them on a second run.
-    `compact` spends a shuffle on well-sized output files; one event per input file makes that worth while.
+    `compact` spends a shuffle on well-sized output files; one event per input file makes that worth while. With
+    `ranges_path` the time ranges of the written days are recorded there.
     """
     events = flatten_events(read_bronze(spark, bronze_root, start, end), channel_map)
+    scope = T.in_days(F.col("dt"), start, end)
+    if ranges_path is not None:
+        ranges.forget(spark, ranges_path, scope)
     if mode == "append":
         write_table(events, silver_path, schemas.EVENTS.by, rebalance=compact, sort_by=SORT_EVENTS_BY)
     else:
-        scope = T.in_days(F.col("dt"), start, end)
         overwrite_partitions(events, silver_path, "dt", scope, rebalance=compact, sort_by=SORT_EVENTS_BY)
+    if ranges_path is not None:
+        ranges.record(spark, silver_path, ranges_path, scope)
 
 
 def rebuild_yesterday(

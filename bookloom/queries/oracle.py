@@ -66,12 +66,15 @@ daily AS (
 )"""
 
 
+# Bookings and amounts as rows of one list; a channel counts if it has both.
 CPB = f"""
 cpb AS (
-  SELECT b.channel, s.total_spend, b.n AS total_bookings, {money('s.total_spend / nullif(b.n, 0)')} AS cpb
-  FROM (SELECT channel, count(DISTINCT booking_id) AS n FROM bookings WHERE {named('channel')} GROUP BY channel) b
-  JOIN (SELECT channel, sum(spend) AS total_spend FROM spend WHERE {named('channel')} GROUP BY channel) s
-    ON b.channel = s.channel
+  SELECT channel, sum(amount) AS total_spend, count(DISTINCT booking_id) AS total_bookings,
+    {money('sum(amount) / count(DISTINCT booking_id)')} AS cpb
+  FROM (SELECT channel, booking_id, NULL AS amount FROM bookings UNION ALL SELECT channel, NULL, spend FROM spend)
+  WHERE {named('channel')}
+  GROUP BY channel
+  HAVING count(booking_id) > 0 AND count(amount) > 0
 )"""
 
 CUMULATIVE = daily_cte() + """,
@@ -86,24 +89,20 @@ cumulative AS (
 
 def campaign_cte(division: str = "/", days: str = "TRUE") -> str:
     return f"""
-per_campaign AS (
-  SELECT day, channel, nullif(trim(utm_campaign), '') AS campaign, count(DISTINCT booking_id) AS n
-  FROM bookings WHERE {named('channel')} AND {days} GROUP BY ALL
+labelled AS (
+  SELECT DISTINCT day, channel, CASE WHEN {named('utm_campaign')} THEN trim(utm_campaign) ELSE '(none)' END AS label, booking_id
+  FROM bookings WHERE {named('channel')} AND {days}
 ),
-per_channel AS (
-  SELECT day, channel, count(DISTINCT booking_id) AS n FROM bookings WHERE {named('channel')} AND {days} GROUP BY ALL
-),
-campaigns AS (
-  SELECT p.channel AS source, coalesce(p.campaign, '(none)') AS campaign, p.n AS total_bookings,
-    CASE WHEN c.n > 0 THEN coalesce(s.spend, 0) * (p.n {division} c.n) ELSE 0 END AS total_spend, p.day AS dt
-  FROM per_campaign p
-  JOIN per_channel c ON p.day = c.day AND p.channel = c.channel
-  LEFT JOIN spend s ON s.day = p.day AND s.channel = p.channel
+shares AS (
+  SELECT day, channel, label, count(DISTINCT booking_id) AS own,
+    max(count(DISTINCT booking_id)) OVER (PARTITION BY day, channel) AS every
+  FROM labelled GROUP BY GROUPING SETS ((day, channel, label), (day, channel))
+  QUALIFY label IS NOT NULL
 ),
 campaign_daily AS (
-  SELECT source, campaign, total_bookings, total_spend,
-    {money('CASE WHEN total_bookings > 0 THEN total_spend / total_bookings END')} AS cpb, dt
-  FROM campaigns
+  SELECT channel AS source, label AS campaign, own AS total_bookings, coalesce(spend, 0) * (own {division} every) AS total_spend,
+    {money(f'coalesce(spend, 0) * (own {division} every) / own')} AS cpb, day AS dt
+  FROM shares LEFT JOIN spend USING (day, channel)
 )"""
 
 
@@ -233,6 +232,18 @@ stored AS (
 INTAKE = "WITH " + STORED + "\nSELECT dt, event, event_id, received_at, created_at, raw FROM stored"
 REJECTED = "WITH " + STORED + "\nSELECT body, is_base64, received_at, reason, dt FROM routed WHERE reason IS NOT NULL"
 
+FROM_INTAKE = "WITH " + STORED + """
+SELECT
+  CASE WHEN w.k IN (4, 11) THEN NULL WHEN w.k = 8 THEN '' WHEN w.k NOT IN (9, 10) THEN 'B' || CAST(w.event_id // 2 AS VARCHAR)
+    END AS booking_id,
+  CASE WHEN w.k NOT IN (4, 10, 11) THEN 'S' || CAST(w.event_id // 3 AS VARCHAR) END AS scheduled_event_id,
+  CASE WHEN w.k NOT IN (4, 11) THEN nullif(w.channel, '  ') END AS channel,
+  CASE WHEN w.k NOT IN (4, 11) THEN w.employee END AS organizer_email,
+  CASE WHEN w.k NOT IN (4, 7, 11) THEN w.ts END AS booking_created_at,
+  CASE WHEN w.k NOT IN (4, 11) THEN w.ts END AS webhook_received_at,
+  s.dt
+FROM stored s JOIN webhooks w ON s.row_id = w.event_id"""
+
 # Reports
 
 DETAIL = f"detail AS (SELECT * FROM daily WHERE {between('booking_date')})"
@@ -361,6 +372,7 @@ GROUP BY channel, dt""",
     "refreshed_cumulative": from_bookings(CUMULATIVE_COLUMNS, CUMULATIVE),
     "refreshed_campaign_daily": with_spend(CAMPAIGN_COLUMNS, campaign_cte()),
     "refreshed_time_features": from_bookings(TIME_COLUMNS, TIMES),
+    "refreshed_time_features_pruned": from_bookings(f"{TIME_COLUMNS} WHERE {between('booking_date_local', START, DAY)}", TIMES),
     "refreshed_meeting_features": from_bookings(MEETING_COLUMNS, MEETINGS),
 
     "daily_run_bookings": from_bookings(DAILY_COLUMNS, daily_cte(f"day = DATE '{DAY}'")),
@@ -387,17 +399,8 @@ UNION ALL SELECT 'bookloom_check.events_spend', count(*) FROM spend"""),
     "stream_webhook_intake": INTAKE,
     "stream_webhook_intake_rejects": REJECTED,
     "stream_webhook_intake_first_copy": "WITH " + STORED + "\nSELECT dt, event, event_id, raw FROM stored",
-    "stream_events_silver": "WITH " + STORED + """
-SELECT
-  CASE WHEN w.k IN (4, 11) THEN NULL WHEN w.k = 8 THEN '' WHEN w.k NOT IN (9, 10) THEN 'B' || CAST(w.event_id // 2 AS VARCHAR)
-    END AS booking_id,
-  CASE WHEN w.k NOT IN (4, 10, 11) THEN 'S' || CAST(w.event_id // 3 AS VARCHAR) END AS scheduled_event_id,
-  CASE WHEN w.k NOT IN (4, 11) THEN nullif(w.channel, '  ') END AS channel,
-  CASE WHEN w.k NOT IN (4, 11) THEN w.employee END AS organizer_email,
-  CASE WHEN w.k NOT IN (4, 7, 11) THEN w.ts END AS booking_created_at,
-  CASE WHEN w.k NOT IN (4, 11) THEN w.ts END AS webhook_received_at,
-  s.dt
-FROM stored s JOIN webhooks w ON s.row_id = w.event_id""",
+    "stream_events_silver": FROM_INTAKE,
+    "events_silver_replayed": FROM_INTAKE + f" WHERE {between('CAST(s.dt AS DATE)')}",
 
     "report_daily_range": from_bookings(days_of("booking_date", "daily"), daily_cte()),
     "report_daily_detail": from_bookings("SELECT booking_date, channel, bookings FROM detail", daily_cte(), DETAIL),

@@ -14,7 +14,7 @@ from bookloom.functions.text import blank_to_null, campaign_label, display_label
 from bookloom.operators.lookup import map_channel_table
 from bookloom.operators.running import latest_before
 from bookloom.operators.selection import date_bounds, options
-from bookloom.plans import gold, intake, refresh, reports, silver
+from bookloom.plans import gold, intake, ranges, refresh, reports, silver
 from bookloom.queries import adapters as A
 from bookloom.session import configure, work_dir
 from bookloom.sinks import catalog, export
@@ -22,7 +22,7 @@ from bookloom.sinks.tables import overwrite_partitions, replace_days, write_tabl
 from bookloom.sources.tables import load_table
 from bookloom.sources.webhooks import parse_bronze, read_envelopes, stream_envelopes
 from bookloom.streaming.intake import start_intake
-from bookloom.streaming.silver import start_silver
+from bookloom.streaming.silver import rebuild_days, start_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -259,6 +259,18 @@ def refreshed_time_features(spark, sf):
     return load_table(spark, path, schemas.TIME_FEATURES)
 
 
+@query
+def refreshed_time_features_pruned(spark, sf):
+    """Some local days rebuilt from stored events, some of them received weeks late; partitions chosen by recorded ranges."""
+    path, stored, known = (work_dir(spark, n) for n in ("time-features", "events", "ranges"))
+    late = F.when(F.col("organizer_email") == "emp3", F.lit("2024-02-20")).otherwise(F.col("dt"))
+    write_table(A.bookings(spark, sf).withColumn("dt", late), stored, schemas.EVENTS.by)
+    ranges.record(spark, stored, known, F.lit(True))
+    events = load_table(spark, stored, schemas.EVENTS)
+    refresh.refresh_time_features(events, path, START, DAY, ranges=ranges.load(spark, known))
+    return load_table(spark, path, schemas.TIME_FEATURES)
+
+
 @query
 def refreshed_meeting_features(spark, sf):
     path = work_dir(spark, "meeting-features")
@@ -390,13 +402,25 @@ def stream_webhook_intake_first_copy(spark, sf):
     return intake_rows(load_table(spark, bronze, schemas.BRONZE)).select("dt", "event", "event_id", "raw")
 
 
+INTAKE_COLUMNS = ["booking_id", "scheduled_event_id", "channel", "organizer_email", "booking_created_at", "webhook_received_at", "dt"]
+
+
 @query
 def stream_events_silver(spark, sf):
     bronze, _ = run_intake(spark, sf)
     path = work_dir(spark, "silver")
     start_silver(spark, bronze, path, work_dir(spark, "silver-state")).awaitTermination()
-    columns = ["booking_id", "scheduled_event_id", "channel", "organizer_email", "booking_created_at", "webhook_received_at", "dt"]
-    return load_table(spark, path, schemas.EVENTS).select(*columns)
+    return load_table(spark, path, schemas.EVENTS).select(*INTAKE_COLUMNS)
+
+
+@query
+def events_silver_replayed(spark, sf):
+    """Silver days rebuilt from the bronze table that the intake wrote."""
+    path, silver_path = work_dir(spark, "bronze"), work_dir(spark, "silver")
+    bronze, _ = intake.ingest_webhooks(read_envelopes(spark, A.landed_envelopes(spark, sf)))
+    write_table(bronze, path, schemas.BRONZE.by)
+    rebuild_days(spark, path, silver_path, T.date_range(START, END), ranges_path=work_dir(spark, "ranges"))
+    return load_table(spark, silver_path, schemas.EVENTS).select(*INTAKE_COLUMNS)
 
 
 # Report tab 1

@@ -58,6 +58,10 @@ EVENTS = TableLayout(
        webhook_received_at timestamp, webhook_received_by string, dt string""",
     ("dt",))
 
+EVENT_RANGES = TableLayout(
+    "booking_event_ranges",
+    "first_booked timestamp, last_booked timestamp, first_meeting timestamp, last_meeting timestamp, dt string", ("dt",))
+
 SPEND = TableLayout("events_spend", "channel string, spend double, dt string", ("dt",))
 
 DAILY_BOOKINGS = TableLayout(

@@ -63,12 +63,17 @@ def overwrite_partitions(
         .observe(seen, F.collect_set(F.col(by).cast("string")).alias("written"))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path))
     written = set(seen.get["written"] or [])
-    empty = spark.createDataFrame([], df.drop(by).schema)
-    for partition in sorted(stale - written):
-        empty.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{by}={partition}")
+    empty_partitions(df, path, by, stale - written)
     return sorted(written | stale)
 
 
+def empty_partitions(df: DataFrame, path: str, by: str, partitions: Iterable[str]) -> None:
+    """Leave these partitions of a table with the columns of `df` without rows."""
+    empty = df.sparkSession.createDataFrame([], df.drop(by).schema)
+    for partition in sorted(partitions):
+        empty.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{by}={partition}")
+
+
 def replace_days(
     df: DataFrame, path: str, by: str, days: Iterable[Day] | None = None,
 ) -> list[str]:

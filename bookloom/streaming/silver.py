@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from bookloom import schemas
 from bookloom.functions.times import on_any_day
+from bookloom.plans import ranges
 from bookloom.plans.intake import latest_copies
 from bookloom.plans.silver import SORT_EVENTS_BY, flatten_events
 from bookloom.sinks.tables import overwrite_partitions, partitions_in
@@ -18,25 +19,34 @@ from bookloom.streaming.intake import ONCE
 
 def rebuild_days(
     spark: SparkSession, bronze_path: str, silver_path: str, days: list[str], channel_map: dict[str, str] | None = None,
+    ranges_path: str | None = None,
 ) -> list[str]:
-    """Silver events of whole days from bronze, repeated deliveries resolved. A second run changes nothing."""
+    """Silver events of whole days from bronze, repeated deliveries resolved. A second run changes nothing.
+
+    Also the batch run that replays stored bronze, for example after a change of the channel mapping. With
+    `ranges_path` the time ranges of these days are recorded there.
+    """
     chosen = on_any_day(F.col("dt"), days)
     bronze = load_table(spark, bronze_path, schemas.BRONZE).filter(chosen)
     events = flatten_events(parse_bronze(latest_copies(bronze)), channel_map)
-    # The deduplication has shuffled a single day into well-sized pieces already.
-    return overwrite_partitions(events, silver_path, "dt", chosen, rebalance=len(days) > 1, sort_by=SORT_EVENTS_BY)
+    if ranges_path is not None:
+        ranges.forget(spark, ranges_path, chosen)
+    written = overwrite_partitions(events, silver_path, "dt", chosen, sort_by=SORT_EVENTS_BY)
+    if ranges_path is not None:
+        ranges.record(spark, silver_path, ranges_path, chosen)
+    return written
 
 
 def start_silver(
     spark: SparkSession, bronze_path: str, silver_path: str, checkpoint: str, trigger: dict | None = None,
-    channel_map: dict[str, str] | None = None,
+    channel_map: dict[str, str] | None = None, ranges_path: str | None = None,
 ) -> StreamingQuery:
     """Follow the bronze table. A late event is not lost: it makes its day be rebuilt."""
 
     def rebuild(batch: DataFrame, _: int) -> None:
         days = partitions_in(batch, "dt")
         if days:
-            rebuild_days(batch.sparkSession, bronze_path, silver_path, days, channel_map)
+            rebuild_days(batch.sparkSession, bronze_path, silver_path, days, channel_map, ranges_path)
 
     stream = spark.readStream.schema(schemas.BRONZE.ddl).parquet(bronze_path).select("dt")
     return (

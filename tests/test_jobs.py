@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from bookloom import jobs, schemas
 from bookloom.plans import gold
 from bookloom.sources.tables import load_table
@@ -28,6 +30,10 @@ def test_backfill_then_daily_runs(spark, tmp_path):
         jobs.main(["events", *root, "--bronze", str(bronze), "--start", day, "--end", day], spark)
         for _ in range(2):
             jobs.main(["refresh", *root, "--as-of", as_of], spark)
+    jobs.main(["refresh", *root, "--start", days[5], "--end", days[8]], spark)
+    with pytest.raises(SystemExit):
+        jobs.main(["refresh", *root], spark)
+    assert load_table(spark, lake.ranges, schemas.EVENT_RANGES).count() == 9
     events, spend = jobs.silver_tables(spark, lake)
     assert spend.count() == 27
     for name in (schemas.DAILY_BOOKINGS, schemas.CPB, schemas.CUMULATIVE, schemas.CAMPAIGN_DAILY, schemas.TIME_FEATURES):
@@ -54,4 +60,7 @@ def test_intake_run(spark, tmp_path):
     (landed / "one.json").write_text("\n".join(map(json.dumps, rows)))
     for _ in range(2):
         jobs.main(["intake", "--lake", lake.root, "--envelopes", str(landed)], spark)
-    assert load_table(spark, lake.events, schemas.EVENTS).count() == 3
+    stored = values(load_table(spark, lake.events, schemas.EVENTS))
+    assert len(stored) == 3
+    jobs.main(["events", "--lake", lake.root, "--from-table", "--start", "2025-10-06", "--end", "2025-10-08"], spark)
+    assert values(load_table(spark, lake.events, schemas.EVENTS)) == stored

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from bookloom import schemas
 from bookloom.functions import times as T
-from bookloom.plans import gold, refresh
+from bookloom.plans import gold, ranges, refresh
 from bookloom.queries import adapters as A
 from bookloom.sources.tables import load_table
 from fixtures import events, ts, values
@@ -64,6 +64,41 @@ def test_a_booking_received_late_survives_a_refresh(spark, silver, tmp_path):
     assert values(stored) == values(gold.time_features(events).filter("booking_date_local = date '2024-01-06'"))
 
 
+def test_recorded_ranges_choose_partitions_without_loss(spark, silver, tmp_path):
+    late = silver[0].limit(1).withColumns({
+        "booking_created_at": F.lit("2024-01-06 18:00:00").cast("timestamp"), "channel": F.lit("late"), "dt": F.lit("2024-03-01")})
+    stored, known = str(tmp_path / "events"), str(tmp_path / "ranges")
+    silver[0].unionByName(late.select(*silver[0].columns)).write.partitionBy("dt").parquet(stored)
+    everything = F.lit(True)
+    ranges.record(spark, stored, known, everything)
+    rows = load_table(spark, stored, schemas.EVENTS)
+    chosen = refresh.time_features_on_days(rows, ["2024-01-06"], ranges=ranges.load(spark, known))
+    assert values(chosen) == values(gold.time_features(rows).filter("booking_date_local = date '2024-01-06'"))
+    assert "late" in {r.source for r in chosen.collect()}
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [NOT dt" in plan and "2024-01-08" in plan and "2024-03-01" not in plan
+    ranges.forget(spark, known, everything)
+    unknown = refresh.time_features_on_days(rows, ["2024-01-06"], ranges=ranges.load(spark, known))
+    assert "PartitionFilters: []" in unknown._jdf.queryExecution().executedPlan().toString()
+    weeks = refresh.meeting_features_in_weeks(rows, ["2024-01-01", "2024-01-29"], ranges=ranges.load(spark, known))
+    assert values(weeks) == values(gold.meeting_features(rows).filter("week_start_date = date '2024-01-01'"))
+
+
+def test_a_range_in_one_run(spark, silver, tmp_path):
+    for layout in (schemas.DAILY_BOOKINGS, schemas.CAMPAIGN_DAILY):
+        path = str(tmp_path / layout.name)
+        refresh.refresh_range(layout.name, *silver, path, DAYS[0], DAYS[-1])
+        assert values(load_table(spark, path, layout)) == values(FULL[layout](*silver).select(*layout.columns))
+    path = str(tmp_path / "m")
+    refresh.refresh_range(schemas.MEETING_FEATURES.name, *silver, path, DAYS[0], "2024-01-10")
+    assert values(load_table(spark, path, schemas.MEETING_FEATURES)) == values(gold.meeting_features(silver[0]))
+
+
+def test_stretches():
+    days = [dt.date(2024, 1, d) for d in (5, 6, 9, 1)]
+    assert T.stretches(days) == [(days[3], days[3]), (days[0], days[1]), (days[2], days[2])]
+
+
 def test_full_build_replaces_all_days_in_either_overwrite_mode(spark, silver, tmp_path):
     for mode in ("static", "dynamic"):
         path = str(tmp_path / mode)
