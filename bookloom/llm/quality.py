@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bookloom.llm.common import col, lists, row_key, stored, text_of
+from bookloom.llm.common import col, first_by_hash, lists, row_key, stored, text_of
 
 SYMBOLS = b"#*$%&|<>"
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -154,7 +154,7 @@ def judge(
     """
     stats = stored(measure(docs, id_col, text_col), "statistics")
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat * F.col("n_words"))
-    sample = stats.where(~failed).orderBy(F.xxhash64("doc_id", "key"), "key").limit(trees * rows_per_tree).select(*STATS).collect()
+    sample = first_by_hash(stats.where(~failed), trees * rows_per_tree, "doc_id", "key").select(*STATS).collect()
     if not sample:
         return stats.select("doc_id", "key", *STATS, failed.alias("base_failed"), F.lit(0.0).alias("anomaly"), (~failed).alias("kept"))
     forest = grow(shape({s: np.array([r[s] for r in sample]) for s in STATS}), trees, rows_per_tree, seed)

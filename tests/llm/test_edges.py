@@ -329,3 +329,14 @@ def test_schedule_keeps_the_mixture_in_every_window():
     plan = packing.Schedule([1000, 100], [1.0, 1.0], 50)
     first = [at for start, stop, at in plan.cut(1, 0, 100)]
     assert max(first) < 200  # equal weights: the short queue is through after 200 tokens
+
+
+def test_lowest_hashes_with_and_without_many_equal_keys(spark):
+    from bookloom.llm.common import first_by_hash
+
+    apart = spark.range(2000).withColumn("key", F.col("id") * 3)
+    mixed = spark.range(2000).withColumn("key", F.when(F.col("id") % 3 > 0, F.col("id") * 0))
+    for rows, columns in ((apart, ("id", "key")), (mixed, ("key",)), (apart.limit(0), ("id",))):
+        got = [tuple(r) for r in first_by_hash(rows, 50, *columns).select(*columns).collect()]
+        want = rows.orderBy(F.xxhash64(*columns), *columns).limit(50).select(*columns).collect()
+        assert got == [tuple(r) for r in want]
