@@ -20,8 +20,10 @@ NO_ID = (1 << 63) - 1  # orders rows without an id behind all others
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Hand this package to the executors, once per context, as `--py-files` would; keep Arrow batches of texts small."""
+    """Hand this package to the executors, once per context, as `--py-files` would; keep Arrow batches of texts small,
+    by rows and by bytes."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     context = spark.sparkContext
     if SHIPPED.get(context.applicationId) is None:
         root = Path(bookloom.__file__).resolve().parent
@@ -139,6 +141,16 @@ def lists(batches: Iterator) -> Iterator[list[list]]:
             yield [part.column(i).to_pylist() for i in range(part.num_columns)]
 
 
+def by_bytes(batches: Iterator, column: str, most: int) -> Iterator:
+    """Slices of each Arrow batch whose `column` holds about `most` bytes, or a single row."""
+    for batch in batches:
+        values = batch.column(column)
+        values = values.flatten() if hasattr(values, "flatten") and values.type.num_fields else values
+        step = max(1, batch.num_rows * most // max(1, values.nbytes))
+        for at in range(0, batch.num_rows, step):
+            yield batch.slice(at, step)
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node that has a link (a, b); the root is the smallest node reachable.
 

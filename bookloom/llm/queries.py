@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookloom.llm import chat, decontamination, packing, pii, quality, repeats, secrets, simhash, toxicity, warc
+from bookloom.llm import chat, clusters, decontamination, packing, pieces, pii, quality, repair, repeats, secrets, simhash, toxicity, warc
 from bookloom.llm.common import load
 
-TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
+TOKENIZER, RANKS, PIECES = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 OWN_CONVERSATION = "</s>[INST] ok [/INST]"
 
 
@@ -97,6 +97,25 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(tokenizer_path(PIECES), "rb") as file:
+        model = file.read()
+    found = pieces.decode(pieces.encode(load(spark, sf_dir, "documents"), model), model)
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = clusters.with_inertia(clusters.cluster(load(spark, sf_dir, "embeddings")))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2("centroid", 256).alias("centroid_sha256"))
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repair.repair_conversations(repair.damage(load(spark, sf_dir, "conversations")))
+    return found.where("report IS NOT NULL").select("conv_id", "report.*")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -105,4 +124,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in (
     op1_chat_formatting, op2_pii, op3_secrets, op4_simhash, op5_warc, op6_substring_dedup, op7_quality, op8_decontamination,
-    op9_toxicity, op10_packing, pipeline)}
+    op9_toxicity, op10_packing, op11_sentencepiece, op12_centroids, op13_repair, pipeline)}
