@@ -20,7 +20,7 @@ from bookloom.llm.common import by_bytes, col, text_of
 SPACE = "▁"
 NEVER = np.iinfo(np.int32).max
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
-REMEMBERED = 300_000  # words whose ids a worker keeps between texts
+REMEMBERED = 400_000  # words whose ids a worker keeps between texts
 
 # One replacement character for each byte that is not part of a character.
 codecs.register_error("per_byte", lambda e: ("�", e.start + 1))
@@ -49,6 +49,18 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
         yield tag >> 3, value
 
 
+def _word_pattern(touching: set[tuple[str, str]]) -> str:
+    """How texts are cut into words that are remembered: only where no piece holds the two characters side by side.
+
+    Spaces lead a word if no piece has one behind another character. Control characters and digits that touch nothing
+    stand alone.
+    """
+    if any(b == SPACE != a for a, b in touching):
+        return r"(?s).+"
+    alone = "".join(re.escape(c) for c in map(chr, range(128)) if (c.isdigit() or ord(c) < 32) and not any(c in pair for pair in touching))
+    return f" *[^ {alone}]+|[{alone}]| +" if alone else " *[^ ]+| +"
+
+
 class PieceModel:
     """A BPE model with byte fallback, identity normalisation and a space put before the text.
 
@@ -108,14 +120,7 @@ class PieceModel:
         np.minimum.at(self.next_rank, self.keys & 0xFFFFFFFF, self.ranks)
         self.touching = np.array(sorted(ord(a) << 32 | ord(b) for a, b in touching) or [0], np.int64)
 
-        # Words to remember: spaces lead a word, and characters that touch no other one in any piece stand alone.
-        alone = "".join(c for c in map(chr, range(33)) if c != " " and not any(c in pair for pair in touching))
-        alone += "".join(c for c in "0123456789" if not any(c in pair for pair in touching))
-        if any(b == SPACE != a for a, b in touching):
-            self.words = re.compile(r"(?s).+")
-        else:
-            single = re.escape(alone)
-            self.words = re.compile(f" *[^ {single}]+|[{single}]| +" if alone else " *[^ ]+| +")
+        self.words = re.compile(_word_pattern(touching))
         self.known: dict[str, bytes] = {}
 
         self.normal = [t == NORMAL for _, _, t in pieces]
@@ -131,16 +136,17 @@ class PieceModel:
             self.known.clear()
         known, split = self.known, self.words.findall
         words = [split(" " + t.replace(SPACE, " ")) if t else [] for t in texts]
-        new = list({w for ws in words for w in ws if w not in known})
+        new = list(set().union(*words).difference(known))
         at = 0
         while at < len(new):  # a bounded number of characters at once, or one word
             size, end = 0, at
             while end < len(new) and (end == at or size + len(new[end]) <= 1 << 20):
                 size, end = size + len(new[end]), end + 1
-            for word, ids in zip(new[at:end], self.merge(new[at:end]), strict=True):
-                known[word] = ids.tobytes()
+            ids, ends = self.merge(new[at:end])
+            data, ends = ids.tobytes(), (4 * ends).tolist()
+            known.update(zip(new[at:end], [data[i:j] for i, j in zip([0, *ends], ends, strict=False)], strict=True))
             at = end
-        return [np.frombuffer(b"".join([known[w] for w in ws]), np.int32) for ws in words]
+        return [np.frombuffer(b"".join(map(known.__getitem__, ws)), np.int32) for ws in words]
 
     def look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank (NEVER if no piece) and result of each pair of symbols."""
@@ -149,8 +155,8 @@ class PieceModel:
         found = (self.keys[places] == keys) & (left >= 0) & (right >= 0)
         return np.where(found, self.ranks[places], NEVER), np.where(found, self.results[places], -1)
 
-    def merge(self, words: list[str]) -> list[np.ndarray]:
-        """The ids of each word, in rounds over one flat array of symbols.
+    def merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words in a row, and where each word's end; in rounds over one flat array of symbols.
 
         Every round takes the best rank of any pair in each segment (a stretch of a word inside which pieces can
         reach), merges all leftmost pairs of that rank and drops the symbols swallowed. Segments without a pair leave
@@ -216,8 +222,11 @@ class PieceModel:
             left[spots + 1] = False
             places = np.cumsum(left) - 1
             symbols, where, starts, rank, result = (x[left] for x in (symbols, where, starts, rank, result))
-            changed = places[spots]
-            self._refresh(symbols, starts, rank, result, np.union1d(changed, changed[changed > 0] - 1))
+            spots = places[spots]
+            changed = np.zeros(len(symbols) + 1, bool)
+            changed[spots] = True
+            changed[spots - 1] = True  # the place before the first one is the last, which counts for nothing
+            self._refresh(symbols, starts, rank, result, np.flatnonzero(changed[:-1]))
 
         at = np.concatenate(done_at) if done_at else np.zeros(0, np.int64)
         order = np.argsort(at, kind="stable")
@@ -225,7 +234,7 @@ class PieceModel:
         ids, sizes = self._spell(symbols, points[at])
         owner = np.searchsorted(ends, at, side="right")
         per_word = np.bincount(owner, weights=sizes, minlength=len(words)).astype(np.int64)
-        return np.split(ids, np.cumsum(per_word)[:-1])
+        return ids, np.cumsum(per_word)
 
     def _refresh(self, symbols, starts, rank, result, spots: np.ndarray) -> None:
         """Look up the pairs that begin at these places anew."""
