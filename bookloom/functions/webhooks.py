@@ -76,7 +76,8 @@ def text_at(value: Column, path: str) -> Column:
 
 
 def event_name(value: Column) -> Column:
-    return F.coalesce(F.try_variant_get(value, "$.event", "string"), F.lit(UNKNOWN_EVENT))
+    """The event's name; one that is missing, null or empty cannot name a folder and counts as unknown."""
+    return F.coalesce(F.nullif(F.try_variant_get(value, "$.event", "string"), F.lit("")), F.lit(UNKNOWN_EVENT))
 
 
 def event_id(value: Column, random: Column) -> Column:

@@ -26,14 +26,16 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from bookloom import schemas  # noqa: E402
 from bookloom.functions import times as T  # noqa: E402
-from bookloom.plans import gold, ranges, refresh, silver  # noqa: E402
+from bookloom.plans import gold, ranges, refresh, seen, silver  # noqa: E402
 from bookloom.session import build_session  # noqa: E402
-from bookloom.sinks.catalog import register_tables, sync_table, verify_tables  # noqa: E402
+from bookloom.sinks import versions  # noqa: E402
+from bookloom.sinks.catalog import point_at, register_tables, sync_table, verify_tables  # noqa: E402
 from bookloom.sources.spend import ALL  # noqa: E402
-from bookloom.sources.tables import load_table  # noqa: E402
+from bookloom.sinks.tables import partitions_in, remove_folder  # noqa: E402
+from bookloom.sources.tables import load_table, path_exists  # noqa: E402
 from bookloom.sources.webhooks import stream_envelopes  # noqa: E402
 from bookloom.streaming.intake import start_intake  # noqa: E402
-from bookloom.streaming.silver import rebuild_days, start_silver  # noqa: E402
+from bookloom.streaming.silver import rebuild_days, settle_days, start_silver  # noqa: E402
 
 
 @dataclass(frozen=True)
@@ -53,6 +55,14 @@ class Lake:
     def rejects(self) -> str:
         return self.path("bronze", schemas.REJECTS.name)
 
+    @property
+    def repeats(self) -> str:
+        return self.path("bronze", schemas.REPEATS.name)
+
+    @property
+    def live(self) -> str:
+        return self.path("silver", schemas.LIVE_EVENTS.name)
+
     @property
     def events(self) -> str:
         return self.path("silver", schemas.EVENTS.name)
@@ -66,8 +76,13 @@ class Lake:
         return self.path("silver", schemas.SPEND.name)
 
     def gold(self, name: str) -> str:
+        """The folder of a table; one without partitions holds its versions there."""
         return self.path("gold", name)
 
+    @property
+    def seen(self) -> seen.SeenSet:
+        return seen.SeenSet(self.state("seen_bookings"))
+
     def state(self, name: str) -> str:
         return self.path("state", name)
 
@@ -88,6 +103,9 @@ def silver_tables(spark: SparkSession, lake: Lake) -> tuple[DataFrame, DataFrame
 
 def build_gold(spark: SparkSession, lake: Lake, name: str) -> None:
     """Build one reporting table from all silver rows."""
+    if name == schemas.CPB.name:
+        seen.build_cpb(*silver_tables(spark, lake), lake.seen, lake.gold(name))
+        return
     refresh.build(lake.gold(name), schemas.GOLD[name], BUILDERS[name](*silver_tables(spark, lake)))
 
 
@@ -96,6 +114,9 @@ def refresh_gold(
     weeks: list[T.Day] | None = None,
 ) -> list[str]:
     """The days from `start` to `end` of one reporting table; of the meetings table the given weeks, if any."""
+    if name == schemas.CPB.name:
+        seen.refresh_cpb(*silver_tables(spark, lake), lake.seen, lake.gold(name), start, end)
+        return []
     known = ranges.load(spark, lake.ranges)
     if weeks and name == schemas.MEETING_FEATURES.name:
         events, _ = silver_tables(spark, lake)
@@ -103,15 +124,26 @@ def refresh_gold(
     return refresh.refresh_range(name, *silver_tables(spark, lake), lake.gold(name), start, end, mode, known)
 
 
-def lake_tables(lake: Lake) -> dict[str, tuple[str, schemas.TableLayout]]:
+def gold_path(spark: SparkSession, lake: Lake, name: str) -> str:
+    """Where the rows of a reporting table are now."""
+    if schemas.GOLD[name].by:
+        return lake.gold(name)
+    return versions.current(spark, lake.gold(name)) or versions.version_path(lake.gold(name), 1)
+
+
+def load_gold(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
+    return load_table(spark, gold_path(spark, lake, name), schemas.GOLD[name])
+
+
+def lake_tables(spark: SparkSession, lake: Lake) -> dict[str, tuple[str, schemas.TableLayout]]:
     """Folder and layout of the silver and gold tables."""
     tables = {schemas.EVENTS.name: (lake.events, schemas.EVENTS), schemas.SPEND.name: (lake.spend, schemas.SPEND)}
-    return {**tables, **{name: (lake.gold(name), layout) for name, layout in schemas.GOLD.items()}}
+    return {**tables, **{name: (gold_path(spark, lake, name), layout) for name, layout in schemas.GOLD.items()}}
 
 
 def register_lake(spark: SparkSession, lake: Lake, database: str) -> DataFrame:
     """Catalog entries for the silver and gold tables; returns their row counts."""
-    tables = lake_tables(lake)
+    tables = lake_tables(spark, lake)
     register_tables(spark, database, tables)
     counts, _ = verify_tables(spark, {f"{database}.{name}": layout.columns for name, (_, layout) in tables.items()})
     return counts
@@ -119,17 +151,26 @@ def register_lake(spark: SparkSession, lake: Lake, database: str) -> DataFrame:
 
 def sync_lake(spark: SparkSession, lake: Lake, database: str) -> None:
     """Let the registered tables show what the last run wrote."""
-    for name, (_, layout) in lake_tables(lake).items():
+    for name, (path, layout) in lake_tables(spark, lake).items():
         if spark.catalog.tableExists(f"{database}.{name}"):
+            if not layout.by:
+                point_at(spark, f"{database}.{name}", path, layout)
             sync_table(spark, f"{database}.{name}", layout)
 
 
 def follow_webhooks(spark: SparkSession, lake: Lake, envelopes: str, max_files: int | None = None) -> None:
-    """Take in the envelopes that have arrived, then rebuild the silver days they touch."""
+    """Take in the envelopes that have arrived, fold them into the live silver table, and settle the days they touch."""
     source = stream_envelopes(spark, envelopes, max_files)
-    for query in start_intake(source, lake.bronze, lake.rejects, lake.state("intake")):
-        query.awaitTermination()
-    start_silver(spark, lake.bronze, lake.events, lake.state("silver"), ranges_path=lake.ranges).awaitTermination()
+    start_intake(source, lake.bronze, lake.rejects, lake.repeats, lake.state("intake")).awaitTermination()
+    waiting = lake.state("unsettled_days")  # noted on disk, so that a run that dies leaves them to the next one
+
+    def note(days: list[str]) -> None:
+        spark.createDataFrame([(d,) for d in days], "dt string").write.mode("append").parquet(waiting)
+
+    start_silver(spark, lake.bronze, lake.repeats, lake.live, lake.state("silver"), on_days=note).awaitTermination()
+    if path_exists(spark, waiting):
+        settle_days(spark, lake.live, lake.events, partitions_in(spark.read.schema("dt string").parquet(waiting), "dt"), lake.ranges)
+        remove_folder(spark, waiting)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -178,7 +219,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     mode = "append" if getattr(args, "append", False) else "overwrite"
     names = [args.table] if getattr(args, "table", None) else list(schemas.GOLD)
     if args.run == "events" and args.from_table:
-        rebuild_days(spark, lake.bronze, lake.events, T.date_range(args.start, args.end), ranges_path=lake.ranges)
+        rebuild_days(spark, lake.bronze, lake.events, T.date_range(args.start, args.end), ranges_path=lake.ranges,
+                     repeats_path=lake.repeats)
     elif args.run == "events":
         silver.rebuild_events(spark, args.bronze, lake.events, args.start, args.end, mode=mode, ranges_path=lake.ranges)
     elif args.run == "spend":

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,6 +21,46 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
     return df.withColumn(ROW_NUMBER, F.row_number().over(window)).filter(F.col(ROW_NUMBER) == 1).drop(ROW_NUMBER)
 
 
+def aside(df: DataFrame, keys: Sequence[str], *others: str) -> DataFrame:
+    """Keys under names of their own, to be joined to rows that have the same columns."""
+    return df.select(*[F.col(k).alias(f"__{k}") for k in keys], *others)
+
+
+def same_key(keys: Sequence[str]) -> Column:
+    """Join condition with keys put `aside` in which null equals null."""
+    return reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+
+
+def with_key_in(df: DataFrame, chosen: DataFrame, keys: Sequence[str], inside: bool = True) -> DataFrame:
+    """The rows whose key is in `chosen`, or the others."""
+    return df.join(aside(chosen, keys), same_key(keys), "left_semi" if inside else "left_anti")
+
+
+def repeats(df: DataFrame, keys: Sequence[str], *measures: Column) -> DataFrame:
+    """The keys that occur more than once, with `measures` over their rows. Repeated keys are counted inside each task
+    before the shuffle; only the named columns are read."""
+    return df.groupBy(*keys).agg(F.count("*").alias(ROW_NUMBER), *measures).where(F.col(ROW_NUMBER) > 1).drop(ROW_NUMBER)
+
+
+def latest_by_key(df: DataFrame, keys: Sequence[str], at: str, tie: str, row: str = "row") -> DataFrame:
+    """One row per key, the last by `at`, of equally late ones the one with the largest `tie`; `row` names each row.
+
+    Same rows as `dedup_latest`, for tables with few repeated keys and wide rows: keys and times alone decide which rows
+    are outdated, and only these row names are joined to the wide rows. A wide row is shuffled only where copies came at the
+    same time, so that their contents must be compared. The table is read twice; store what is costly to compute.
+    """
+    narrow = df.select(*keys, at, row)
+    last = aside(repeats(narrow, keys, F.max(at).alias("__last")), keys, "__last")
+    again = narrow.join(last, same_key(keys)).select(*keys, at, row, "__last")
+    newest = again.where(F.col(at).eqNullSafe(F.col("__last")))
+    tied_keys = repeats(newest, keys)
+    tied = with_key_in(newest, tied_keys, keys).select(row)
+    outdated = again.where(~F.col(at).eqNullSafe(F.col("__last"))).select(row)
+    alone = df.join(outdated.unionByName(tied), row, "left_anti")
+    settled = dedup_latest(df.join(tied, row, "left_semi"), keys, [F.desc(at), F.desc(tie)])
+    return alone.unionByName(settled)
+
+
 def optional_in(
     df: DataFrame, column: str, selected: Sequence[str] | None, universe: Sequence[str] | None = None,
 ) -> DataFrame:

@@ -29,7 +29,11 @@ def daily_bookings(events: DataFrame, distinct: bool = True) -> DataFrame:
 
 def cpb_by_channel(events: DataFrame, spend: DataFrame) -> DataFrame:
     """Spend, bookings and cost per booking for channels that have both."""
-    booked = count_bookings(with_channel(events), ["channel"])
+    return cost_per_booking(count_bookings(with_channel(events), ["channel"]), spend)
+
+
+def cost_per_booking(booked: DataFrame, spend: DataFrame) -> DataFrame:
+    """`booked` (channel, bookings) with the channel's whole spend."""
     spent = with_channel(spend).groupBy("channel").agg(sum_money(F.col("spend"), strict=True).alias("total_spend"))
     return booked.join(spent, "channel").select(
         "channel",

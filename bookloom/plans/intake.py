@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from bookloom import schemas
 from bookloom.functions import webhooks as W
-from bookloom.operators.selection import dedup_latest
+from bookloom.operators.selection import aside, dedup_latest, latest_by_key, repeats, same_key, with_key_in
 
+KEY = ["dt", "event", "event_id"]
 BAD_BASE64 = "bad_base64"
 NOT_AN_OBJECT = "not_an_object"
 
@@ -52,7 +53,53 @@ def split_rejects(routed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def latest_copies(bronze: DataFrame) -> DataFrame:
     """One row per (day, event, id): the copy received last, as a repeated write to the same key leaves it."""
-    return dedup_latest(bronze, ["dt", "event", "event_id"], [F.desc("received_at"), F.desc("body")])
+    return dedup_latest(bronze, KEY, [F.desc("received_at"), F.desc("body")])
+
+
+def staged(routed: DataFrame) -> DataFrame:
+    """Routed envelopes as they are written once, before anything reads them more than once."""
+    good = F.col("reason").isNull()
+    return routed.select(
+        F.when(good, W.event_id(F.col("value"), F.col("random_id"))).otherwise(F.col("random_id")).alias("event_id"),
+        F.when(~good, F.col("body")).when(F.col("value").isNull(), W.raw_body(F.col("text"))).otherwise(F.col("text")).alias("body"),
+        "is_base64", "received_at", "reason",
+        F.when(good, W.event_name(F.col("value"))).alias("event"), "dt", F.monotonically_increasing_id().alias("row"),
+    ).select(*schemas.STAGED.columns)
+
+
+def staged_webhooks(table: DataFrame) -> DataFrame:
+    return table.where("reason IS NULL")
+
+
+def staged_rejects(table: DataFrame) -> DataFrame:
+    rejected = table.where("reason IS NOT NULL").withColumnRenamed("event_id", "reject_id")
+    return rejected.select(*schemas.REJECTS.columns)
+
+
+def latest_staged(table: DataFrame) -> DataFrame:
+    """The same rows as `latest_copies`, decided on keys and times; bodies stay where they are."""
+    return latest_by_key(staged_webhooks(table), KEY, "received_at", "body").select(*schemas.BRONZE.columns)
+
+
+def first_and_later(table: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Staged webhooks that are the first of their key, and all later copies.
+
+    `known` holds the keys stored before. Of the copies in the table itself the one received first counts as first. Keys
+    and times decide; the bodies are joined to the names of the rows that come later, which are few.
+    """
+    webhooks = staged_webhooks(table)
+    narrow = webhooks.select(*KEY, "received_at", "row")
+    first = aside(repeats(narrow, KEY, F.min(F.struct("received_at", "row"))["row"].alias("first")), KEY, "first")
+    own = narrow.join(first, same_key(KEY)).where("row <> first").select("row")
+    later = own.unionByName(with_key_in(narrow, known.select(*KEY), KEY).select("row")).distinct()
+    return webhooks.join(later, "row", "left_anti"), webhooks.join(later, "row", "left_semi")
+
+
+def resolve(bronze: DataFrame, later: DataFrame) -> DataFrame:
+    """The last copy of each key from the first copies and the later ones: only keys with a later copy are compared."""
+    again = later.select(*KEY).distinct()
+    return with_key_in(bronze, again, KEY, inside=False).unionByName(
+        latest_copies(with_key_in(bronze, again, KEY).unionByName(later)))
 
 
 def ingest_webhooks(envelopes: DataFrame) -> tuple[DataFrame, DataFrame]:

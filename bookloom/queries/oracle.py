@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bookloom import schemas
 from bookloom.queries.adapters import API, TYPE_ID
 from bookloom.queries.registry import DAY, END, START, WEEKS
 
@@ -163,7 +164,8 @@ webhooks AS (
     CASE k % 5 WHEN 1 THEN '' WHEN 2 THEN '  ' WHEN 3 THEN 'cmp_3' WHEN 4 THEN ' cmp_4 ' END AS utm_campaign,
     CASE k % 10 WHEN 0 THEN 'canceled' WHEN 1 THEN 'cancelled' WHEN 2 THEN NULL ELSE 'active' END AS status,
     CASE WHEN user_id % 12 <> 0 THEN 'emp' || CAST(user_id % 12 AS VARCHAR) END AS employee,
-    CASE event_type WHEN 'signup' THEN NULL WHEN 'error' THEN 'invitee.canceled' ELSE 'invitee.created' END AS hook,
+    CASE WHEN k = 12 THEN '' WHEN event_type = 'error' THEN 'invitee.canceled' WHEN event_type <> 'signup' THEN 'invitee.created'
+      END AS hook,
     '{API}/event_types/' || CASE event_type WHEN 'click' THEN '{TYPE_ID["facebook_paid_ads"]}'
       WHEN 'view' THEN '{TYPE_ID["youtube_paid_ads"]}' WHEN 'purchase' THEN '{TYPE_ID["tiktok_paid_ads"]}'
       ELSE 'other' END AS type_url
@@ -213,7 +215,7 @@ STORED = WEBHOOKS + """,
 routed AS (
   SELECT received_at, event_id AS row_id, strftime(received_at, '%Y-%m-%d') AS dt,
     CASE WHEN k = 3 THEN 'not_an_object' WHEN k = 6 THEN 'bad_base64' END AS reason,
-    CASE WHEN k IN (4, 11) THEN 'unknown_event' ELSE coalesce(hook, 'unknown_event') END AS event,
+    CASE WHEN k IN (4, 11) THEN 'unknown_event' ELSE coalesce(nullif(hook, ''), 'unknown_event') END AS event,
     CASE WHEN k IN (4, 10, 11) THEN NULL WHEN k = 8 THEN sha256(invitee || '/x') WHEN k = 9 THEN sha256(meeting_uri)
       ELSE sha256(invitee) END AS event_id,
     CASE WHEN k = 4 THEN 'junk ' || CAST(event_id AS VARCHAR) END AS raw,
@@ -221,28 +223,22 @@ routed AS (
     CASE WHEN k = 3 THEN '[1, 2]' WHEN k = 6 THEN 'abc' END AS body, k IN (5, 6) AS is_base64
   FROM webhooks
 ),
-stored AS (
-  SELECT * FROM (
-    SELECT *, row_number() OVER (
-      PARTITION BY dt, event, coalesce(event_id, CAST(row_id AS VARCHAR)) ORDER BY received_at DESC) AS n
-    FROM routed WHERE reason IS NULL)
-  WHERE n = 1
-)"""
+copies AS (
+  SELECT *, row_number() OVER (w ORDER BY received_at DESC) AS n, row_number() OVER (w ORDER BY received_at) AS nth
+  FROM routed WHERE reason IS NULL WINDOW w AS (PARTITION BY dt, event, coalesce(event_id, CAST(row_id AS VARCHAR)))
+),
+stored AS (SELECT * FROM copies WHERE n = 1)"""
 
 INTAKE = "WITH " + STORED + "\nSELECT dt, event, event_id, received_at, created_at, raw FROM stored"
 REJECTED = "WITH " + STORED + "\nSELECT body, is_base64, received_at, reason, dt FROM routed WHERE reason IS NOT NULL"
 
-FROM_INTAKE = "WITH " + STORED + """
-SELECT
-  CASE WHEN w.k IN (4, 11) THEN NULL WHEN w.k = 8 THEN '' WHEN w.k NOT IN (9, 10) THEN 'B' || CAST(w.event_id // 2 AS VARCHAR)
-    END AS booking_id,
-  CASE WHEN w.k NOT IN (4, 10, 11) THEN 'S' || CAST(w.event_id // 3 AS VARCHAR) END AS scheduled_event_id,
-  CASE WHEN w.k NOT IN (4, 11) THEN nullif(w.channel, '  ') END AS channel,
-  CASE WHEN w.k NOT IN (4, 11) THEN w.employee END AS organizer_email,
-  CASE WHEN w.k NOT IN (4, 7, 11) THEN w.ts END AS booking_created_at,
-  CASE WHEN w.k NOT IN (4, 11) THEN w.ts END AS webhook_received_at,
-  s.dt
-FROM stored s JOIN webhooks w ON s.row_id = w.event_id"""
+INTAKE_COLUMNS = "\nSELECT dt, event, event_id, received_at, created_at, raw FROM "
+
+# All silver columns of the copies that stay; text that is no JSON and empty objects have none but the day.
+FROM_INTAKE = "WITH " + STORED + "," + SILVER.removeprefix(WEBHOOKS + ",").replace(
+    "AS dt\n  FROM webhooks", "AS dt, event_id AS row_id, k\n  FROM webhooks") + "\nSELECT " + ", ".join(
+    "s.dt" if c == "dt" else f"CASE WHEN w.k NOT IN (4, 11) THEN w.{c} END AS {c}" for c in schemas.EVENTS.columns
+) + "\nFROM stored s JOIN silver w USING (row_id)"
 
 # Reports
 
@@ -329,8 +325,7 @@ FULL_MONTHS = between("week_start_date", WEEKS[0], "2024-01-29")
 ORACLE: dict[str, str] = {
     "events_silver": "WITH " + SILVER + "\nSELECT * FROM silver",
     "events_silver_mapping_table": "WITH " + SILVER + """
-SELECT event_type_url, CASE WHEN utm_source IN ('click', 'view') THEN utm_source END AS channel, booking_id,
-  webhook_received_at FROM silver""",
+SELECT * REPLACE (CASE WHEN utm_source IN ('click', 'view') THEN utm_source END AS channel) FROM silver""",
     "spend_silver": "WITH " + CLEAN_SPEND + "\nSELECT * FROM clean_spend",
 
     "events_silver_from_files": "WITH " + SILVER + f"\nSELECT * FROM silver WHERE {between('CAST(dt AS DATE)')}",
@@ -369,6 +364,7 @@ GROUP BY channel, dt""",
 
     "refreshed_daily_bookings": from_bookings(DAILY_COLUMNS, daily_cte()),
     "refreshed_cpb": with_spend(CPB_COLUMNS, CPB),
+    "refreshed_cpb_daily": with_spend(CPB_COLUMNS, CPB),
     "refreshed_cumulative": from_bookings(CUMULATIVE_COLUMNS, CUMULATIVE),
     "refreshed_campaign_daily": with_spend(CAMPAIGN_COLUMNS, campaign_cte()),
     "refreshed_time_features": from_bookings(TIME_COLUMNS, TIMES),
@@ -395,10 +391,12 @@ UNION ALL SELECT 'bookloom_check.events_spend', count(*) FROM spend"""),
     "csv_export": from_bookings(DAILY_COLUMNS, daily_cte()),
 
     "webhook_intake": INTAKE,
+    "webhook_intake_by_key": INTAKE,
     "webhook_intake_rejects": REJECTED,
     "stream_webhook_intake": INTAKE,
     "stream_webhook_intake_rejects": REJECTED,
-    "stream_webhook_intake_first_copy": "WITH " + STORED + "\nSELECT dt, event, event_id, raw FROM stored",
+    "stream_webhook_intake_first_copy": "WITH " + STORED + INTAKE_COLUMNS + "copies WHERE nth = 1",
+    "stream_webhook_intake_later_copies": "WITH " + STORED + INTAKE_COLUMNS + "copies WHERE nth > 1",
     "stream_events_silver": FROM_INTAKE,
     "events_silver_replayed": FROM_INTAKE + f" WHERE {between('CAST(s.dt AS DATE)')}",
 

@@ -14,10 +14,10 @@ from bookloom.functions.text import blank_to_null, campaign_label, display_label
 from bookloom.operators.lookup import map_channel_table
 from bookloom.operators.running import latest_before
 from bookloom.operators.selection import date_bounds, options
-from bookloom.plans import gold, intake, ranges, refresh, reports, silver
+from bookloom.plans import gold, intake, ranges, refresh, reports, seen, silver
 from bookloom.queries import adapters as A
 from bookloom.session import configure, work_dir
-from bookloom.sinks import catalog, export
+from bookloom.sinks import catalog, export, versions
 from bookloom.sinks.tables import overwrite_partitions, replace_days, write_table
 from bookloom.sources.tables import load_table
 from bookloom.sources.webhooks import parse_bronze, read_envelopes, stream_envelopes
@@ -70,7 +70,7 @@ def events_silver_mapping_table(spark, sf):
     flat = silver.flatten_events(parse_bronze(A.bronze(spark, sf)))
     mapping = A.events(spark, sf).filter(F.col("event_type").isin("click", "view")).select(
         A.event_type_url().alias("event_type_url"), F.col("event_type").alias("channel"))
-    return map_channel_table(flat, mapping).select("event_type_url", "channel", "booking_id", "webhook_received_at")
+    return map_channel_table(flat, mapping).select(*schemas.EVENTS.columns)
 
 
 @query
@@ -232,6 +232,17 @@ def refreshed_cpb(spark, sf):
     return rounded(load_table(spark, path, schemas.CPB), "total_spend")
 
 
+@query
+def refreshed_cpb_daily(spark, sf):
+    """The table from the set of bookings seen: built up to a day, then one stretch of days at a time, one of them twice."""
+    path, known = work_dir(spark, "cpb"), seen.SeenSet(work_dir(spark, "seen"), buckets=8)
+    events, spend = A.bookings(spark, sf), A.spend(spark, sf)
+    seen.build_cpb(first_part(spark, sf), spend, known, path)
+    for start, end in ((AFTER_END, "2024-01-24"), ("2024-01-25", LAST), (AFTER_END, AFTER_END)):
+        seen.refresh_cpb(events, spend, known, path, start, end)
+    return rounded(versions.load_current(spark, path, schemas.CPB), "total_spend")
+
+
 @query
 def refreshed_cumulative(spark, sf):
     path = work_dir(spark, "cumulative")
@@ -376,41 +387,53 @@ def webhook_intake_rejects(spark, sf):
     return rejects.drop("reject_id")
 
 
-def run_intake(spark, sf, **kwargs):
-    bronze, rejects, checkpoint = (work_dir(spark, n) for n in ("bronze", "rejects", "intake-state"))
-    envelopes = stream_envelopes(spark, A.landed_envelopes(spark, sf))
-    for started in start_intake(envelopes, bronze, rejects, checkpoint, **kwargs):
-        started.awaitTermination()
-    return bronze, rejects
+@query
+def webhook_intake_by_key(spark, sf):
+    """Parsed once into a staged table; which copy stays is decided on keys and times."""
+    path = work_dir(spark, "staged")
+    intake.staged(intake.route_webhooks(read_envelopes(spark, A.landed_envelopes(spark, sf)))).write.parquet(path)
+    return intake_rows(intake.latest_staged(load_table(spark, path, schemas.STAGED)))
+
+
+def run_intake(spark, sf):
+    bronze, rejects, repeats, state = (work_dir(spark, n) for n in ("bronze", "rejects", "repeats", "intake-state"))
+    start_intake(stream_envelopes(spark, A.landed_envelopes(spark, sf)), bronze, rejects, repeats, state).awaitTermination()
+    return bronze, rejects, repeats
 
 
 @query
 def stream_webhook_intake(spark, sf):
-    bronze, _ = run_intake(spark, sf)
-    return intake_rows(intake.latest_copies(load_table(spark, bronze, schemas.BRONZE)))
+    bronze, _, repeats = run_intake(spark, sf)
+    return intake_rows(intake.resolve(load_table(spark, bronze, schemas.BRONZE), load_table(spark, repeats, schemas.REPEATS)))
 
 
 @query
 def stream_webhook_intake_rejects(spark, sf):
-    _, rejects = run_intake(spark, sf)
+    _, rejects, _ = run_intake(spark, sf)
     return load_table(spark, rejects, schemas.REJECTS).drop("reject_id")
 
 
 @query
 def stream_webhook_intake_first_copy(spark, sf):
-    bronze, _ = run_intake(spark, sf, dedup_within="1 day")
-    return intake_rows(load_table(spark, bronze, schemas.BRONZE)).select("dt", "event", "event_id", "raw")
+    """Bronze as the stream leaves it."""
+    bronze, _, _ = run_intake(spark, sf)
+    return intake_rows(load_table(spark, bronze, schemas.BRONZE))
 
 
-INTAKE_COLUMNS = ["booking_id", "scheduled_event_id", "channel", "organizer_email", "booking_created_at", "webhook_received_at", "dt"]
+@query
+def stream_webhook_intake_later_copies(spark, sf):
+    """Every delivery that bronze does not hold."""
+    _, _, repeats = run_intake(spark, sf)
+    return intake_rows(load_table(spark, repeats, schemas.REPEATS))
 
 
 @query
 def stream_events_silver(spark, sf):
-    bronze, _ = run_intake(spark, sf)
-    path = work_dir(spark, "silver")
-    start_silver(spark, bronze, path, work_dir(spark, "silver-state")).awaitTermination()
-    return load_table(spark, path, schemas.EVENTS).select(*INTAKE_COLUMNS)
+    """The live table after micro-batches over bronze and the repeats."""
+    bronze, _, repeats = run_intake(spark, sf)
+    path = work_dir(spark, "live")
+    start_silver(spark, bronze, repeats, path, work_dir(spark, "silver-state")).awaitTermination()
+    return load_table(spark, path, schemas.LIVE_EVENTS).select(*schemas.EVENTS.columns)
 
 
 @query
@@ -420,7 +443,7 @@ def events_silver_replayed(spark, sf):
     bronze, _ = intake.ingest_webhooks(read_envelopes(spark, A.landed_envelopes(spark, sf)))
     write_table(bronze, path, schemas.BRONZE.by)
     rebuild_days(spark, path, silver_path, T.date_range(START, END), ranges_path=work_dir(spark, "ranges"))
-    return load_table(spark, silver_path, schemas.EVENTS).select(*INTAKE_COLUMNS)
+    return load_table(spark, silver_path, schemas.EVENTS)
 
 
 # Report tab 1

@@ -44,6 +44,14 @@ REJECTS = TableLayout(
     "rejected_webhooks",
     "reject_id string, body string, is_base64 boolean, received_at timestamp, reason string, dt string", ("dt",))
 
+# A second and any later delivery of an event that bronze holds.
+REPEATS = TableLayout("repeated_webhooks", BRONZE.ddl, ("dt", "event"))
+
+# Deliveries parsed once, on their way into the three tables above; `row` tells them apart.
+STAGED = TableLayout(
+    "staged_webhooks",
+    "event_id string, body string, is_base64 boolean, received_at timestamp, reason string, event string, dt string, row bigint")
+
 EVENTS = TableLayout(
     "booking_events",
     """booking_id string, scheduled_event_id string, event_type_url string, channel string,
@@ -58,6 +66,11 @@ EVENTS = TableLayout(
        webhook_received_at timestamp, webhook_received_by string, dt string""",
     ("dt",))
 
+# Silver as a stream keeps it: the key of the delivery behind each row, and the micro-batch that wrote it.
+LIVE_EVENTS = TableLayout(
+    "booking_events_live",
+    EVENTS.ddl.removesuffix(", dt string") + ", event string, event_id string, received_at timestamp, dt string, part string", ("dt", "part"))
+
 EVENT_RANGES = TableLayout(
     "booking_event_ranges",
     "first_booked timestamp, last_booked timestamp, first_meeting timestamp, last_meeting timestamp, dt string", ("dt",))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +9,7 @@ from pyspark.sql import functions as F
 
 from bookloom.operators.selection import sample_rows
 from bookloom.schemas import TableLayout
+from bookloom.sinks import versions
 
 
 def quoted(name: str) -> str:
@@ -46,22 +46,27 @@ def sync_table(spark: SparkSession, table: str, layout: TableLayout) -> None:
     spark.catalog.refreshTable(table)
 
 
-def swap_table(df: DataFrame, table: str, base: str, layout: TableLayout, fmt: str = "parquet") -> str:
+def swap_table(df: DataFrame, table: str, base: str, layout: TableLayout) -> str:
     """Full refresh of a table without partitions, for readers that must never see it missing or half-written.
 
-    The rows go to a new folder under `base`, then the catalog entry is moved to it. `df` may read the old table.
+    The rows become the next version under `base`, then the catalog entry is moved to it; older versions but the one
+    before are removed. `df` may read the old table.
     """
     if layout.by:
         raise ValueError(f"{layout.name} has partitions; replace those instead")
-    spark = df.sparkSession
-    version = f"{base.rstrip('/')}/version={uuid.uuid4().hex}"
-    df.select(*layout.columns).write.format(fmt).mode("errorifexists").save(version)
+    version = versions.publish(df.select(*layout.columns), base)
+    point_at(df.sparkSession, table, version, layout)
+    versions.drop_old(df.sparkSession, base)
+    return version
+
+
+def point_at(spark: SparkSession, table: str, path: str, layout: TableLayout) -> None:
+    """Move a catalog entry to another folder, or create it."""
     if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {quoted(table)} SET LOCATION '{escaped(version)}'")
+        spark.sql(f"ALTER TABLE {quoted(table)} SET LOCATION '{escaped(path)}'")
         spark.catalog.refreshTable(table)
     else:
-        create_external(spark, table, version, layout, fmt)
-    return version
+        create_external(spark, table, path, layout, "parquet")
 
 
 def count_tables(spark: SparkSession, names: list[str]) -> DataFrame:

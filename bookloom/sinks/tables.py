@@ -4,13 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from bookloom.functions.times import Day, iso
 from bookloom.sources.tables import path_exists
 
 
+def file_system(spark: SparkSession, path: str):
+    """The folder as the file system's own object, and the file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    folder, files = file_system(spark, path)
+    files.delete(folder, True)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    """The folder, empty if it did not exist; a stream cannot follow one that is missing."""
+    folder, files = file_system(spark, path)
+    files.mkdirs(folder)
+
+
 def laid_out(df: DataFrame, by: Sequence[str], rebalance: bool = True, sort_by: str | None = None) -> DataFrame:
     """Arrange rows for writing.
 

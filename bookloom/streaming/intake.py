@@ -1,39 +1,67 @@
-"""Streaming intake: envelopes arrive as files, bronze rows and rejects are appended exactly once."""
+"""Streaming intake: envelopes arrive as files; each micro-batch is parsed once and dealt out to three tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from bookloom import schemas
-from bookloom.plans.intake import route_webhooks, split_rejects
+from bookloom.functions.times import on_any_day
+from bookloom.plans.intake import KEY, first_and_later, route_webhooks, staged, staged_rejects, staged_webhooks
+from bookloom.sinks.tables import laid_out, partitions_in, remove_folder
+from bookloom.sources.tables import load_table, path_exists
 
 ONCE = {"availableNow": True}
+BATCH = "batch"
 
 
-def to_files(rows: DataFrame, path: str, by: tuple[str, ...], checkpoint: str, trigger: dict) -> StreamingQuery:
-    return (
-        rows.writeStream.format("parquet").outputMode("append").partitionBy(*by)
-        .option("checkpointLocation", checkpoint).option("path", path).trigger(**trigger).start())
+def write_batch(rows: DataFrame, path: str, by: Sequence[str], batch: str) -> None:
+    """Add a micro-batch's rows in partitions of its own, so that writing it again replaces them."""
+    marked = rows.withColumn(BATCH, F.lit(batch))
+    (laid_out(marked, by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*by, BATCH).parquet(path))
+
+
+def stored_keys(spark: SparkSession, bronze_path: str, days: list[str], batch: str) -> DataFrame:
+    """Keys that bronze holds on these days from other batches; no body is read."""
+    if not days or not path_exists(spark, bronze_path):
+        return spark.createDataFrame([], "dt string, event string, event_id string")
+    table = spark.read.schema(schemas.BRONZE.ddl + f", {BATCH} string").parquet(bronze_path)
+    return table.where(on_any_day(F.col("dt"), days) & (F.col(BATCH) != batch)).select(*KEY)
+
+
+def take_in(batch_rows: DataFrame, batch: str, bronze_path: str, rejects_path: str, repeats_path: str, staging: str) -> None:
+    """One micro-batch: staged, then dealt out. Running it again leaves the same rows (ids of events without URI are drawn
+    anew only if it died before staging ended, and then none of them was stored)."""
+    spark = batch_rows.sparkSession
+    path = f"{staging}/{BATCH}={batch}"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        staged(route_webhooks(batch_rows)).write.mode("overwrite").parquet(path)
+    table = load_table(spark, path, schemas.STAGED)
+    days = partitions_in(staged_webhooks(table), "dt")
+    first, later = first_and_later(table, stored_keys(spark, bronze_path, days, batch))
+    write_batch(later.select(*schemas.REPEATS.columns), repeats_path, schemas.REPEATS.by, batch)
+    write_batch(first.select(*schemas.BRONZE.columns), bronze_path, schemas.BRONZE.by, batch)
+    write_batch(staged_rejects(table), rejects_path, schemas.REJECTS.by, batch)
+    remove_folder(spark, path)
 
 
 def start_intake(
-    envelopes: DataFrame, bronze_path: str, rejects_path: str, checkpoint: str, trigger: dict | None = None,
-    dedup_within: str | None = None,
-) -> tuple[StreamingQuery, StreamingQuery]:
-    """Two queries over the stream, one per table; the file sink commits every micro-batch exactly once.
-
-    By default every delivery is appended and repeated ones are resolved when a day is read (`latest_copies`): no
-    state to keep, no late row lost, and the last copy wins as in the batch form. With `dedup_within` (for example
-    "1 day") of the copies within that time the one that is read first stays, any one inside a micro-batch; rows later than
-    the watermark are dropped by Spark, so use it only where deliveries cannot be that late.
+    envelopes: DataFrame, bronze_path: str, rejects_path: str, repeats_path: str, checkpoint: str, trigger: dict | None = None,
+) -> StreamingQuery:
+    """Follow the envelopes: the first copy of each (day, event, id) goes to bronze, every later one to the repeats, what
+    cannot be stored to the rejects.
+
+    No state and no watermark: whether a key is known is asked of the days that a batch touches, in bronze itself, so a
+    delivery may be as late as it likes and none is lost. `plans.intake.resolve` gives the last copies.
     """
-    trigger = trigger or ONCE
-    stored, rejected = split_rejects(route_webhooks(envelopes))
-    if dedup_within:
-        stored = stored.withWatermark("received_at", dedup_within).dropDuplicatesWithinWatermark(
-            ["dt", "event", "event_id"])
+
+    def deal_out(batch_rows: DataFrame, number: int) -> None:
+        take_in(batch_rows, f"{number:012d}", bronze_path, rejects_path, repeats_path, f"{checkpoint}/staging")
+
     return (
-        to_files(stored, bronze_path, schemas.BRONZE.by, f"{checkpoint}/bronze", trigger),
-        to_files(rejected, rejects_path, schemas.REJECTS.by, f"{checkpoint}/rejects", trigger),
-    )
+        envelopes.writeStream.foreachBatch(deal_out).option("checkpointLocation", f"{checkpoint}/progress")
+        .trigger(**(trigger or ONCE)).start())

@@ -38,7 +38,7 @@ def test_backfill_then_daily_runs(spark, tmp_path):
     assert spend.count() == 27
     for name in (schemas.DAILY_BOOKINGS, schemas.CPB, schemas.CUMULATIVE, schemas.CAMPAIGN_DAILY, schemas.TIME_FEATURES):
         full = jobs.BUILDERS[name.name](events, spend).select(*name.columns)
-        assert values(load_table(spark, lake.gold(name.name), name)) == values(full)
+        assert values(jobs.load_gold(spark, lake, name.name)) == values(full)
     jobs.main(["build", *root, "--table", schemas.MEETING_FEATURES.name], spark)
     stored = load_table(spark, lake.gold(schemas.MEETING_FEATURES.name), schemas.MEETING_FEATURES)
     assert values(stored) == values(gold.meeting_features(events))
