@@ -10,10 +10,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bookloom.llm.common import col, lists, row_key, text_of
+from bookloom.llm.common import col, first_by_hash, lists, row_key, text_of
 
 # Insults by kind and language, lower case.
 LEXICONS: dict[str, frozenset[bytes]] = {name: frozenset(words.encode().split()) for name, words in {
@@ -31,29 +31,57 @@ THREAT = re.compile(rb"\b(?:kill|hurt|hate|beat|destroy|shut) (?:you|yourself|th
 # Letters in lower case, everything else in ASCII a blank; bytes of other letters stay.
 LETTERS = bytes(b if b > 127 or chr(b).isalpha() and chr(b).islower() else b + 32 if chr(b).isalpha() else 32 for b in range(256))
 VOTERS = (*LEXICONS, "mined", "addressed", "threat")
+ANY = frozenset().union(*LEXICONS.values())
+STEMS = (4, 5, 6, 7, 8)  # bytes at the start of a word that may be mined, besides whole words
+LEXICON_WEIGHT = 5.0  # log odds of a lexicon word before any label speaks
+LEVELS, STEP, PER_WORD = 8, 1.25, 0.002  # evidence is cut into levels of this width, less what so many words bring by chance
+REMEMBERED = 200_000
 
 
 @dataclass(frozen=True)
 class Model:
-    mined: frozenset[bytes]
+    """`mined`: log odds of word starts and of whole words (ending in a blank). `weights`: of the classifier."""
+
+    mined: dict[bytes, float]
     label_model: LabelModel | None
     weights: tuple[float, ...]
 
 
-def votes(text: bytes, mined: frozenset[bytes]) -> list[int]:
-    """How often each voter fires on a text."""
-    plain = text.translate(LETTERS)
-    words = plain.split()
-    hits = [w for w in words if w in ANY or w in mined]
-    counts = [sum(w in lexicon for w in hits) for lexicon in LEXICONS.values()]
-    addressed = 0
-    if hits:
-        bad = [w in ANY or w in mined for w in words]
-        addressed = sum(1 for i, w in enumerate(words) if w in YOU and any(bad[max(0, i - 3): i + 4]))
-    return [*counts, sum(w in mined for w in hits), addressed, len(THREAT.findall(plain))]
-
-
-ANY = frozenset().union(*LEXICONS.values())
+class Votes:
+    """Which voters fire on a text (bits), and the level of its evidence: the log odds of its distinct telling words."""
+
+    def __init__(self, mined: dict[bytes, float]):
+        self.mined = mined
+        self.words: dict[bytes, tuple[int, float] | None] = {}
+
+    def word(self, w: bytes) -> tuple[int, float] | None:
+        """Bits and log odds of a telling word, None for any other."""
+        found = [self.mined[g] for g in (w + b" ", *(w[:n] for n in STEMS if len(w) >= n)) if g in self.mined]
+        bits = sum(1 << i for i, lexicon in enumerate(LEXICONS.values()) if w in lexicon)
+        if not found and not bits:
+            return None
+        return bits | (bool(found) << len(LEXICONS)), max(found, default=LEXICON_WEIGHT)
+
+    def __call__(self, text: bytes) -> tuple[int, int]:
+        plain = text.translate(LETTERS)
+        words = plain.split()
+        known = self.words
+        if len(known) > REMEMBERED:
+            known.clear()
+        for w in set(words).difference(known):
+            known[w] = self.word(w)
+        telling = {w: t for w in set(words) if (t := known[w])}
+        bits, evidence = 0, -PER_WORD * len(words)
+        for b, odds in telling.values():
+            bits |= b
+            evidence += odds
+        if telling:
+            near = [w in telling for w in words]
+            if any(w in YOU and any(near[max(0, i - 3): i + 4]) for i, w in enumerate(words)):
+                bits |= 1 << len(LEXICONS) + 1
+        if THREAT.search(plain):
+            bits |= 1 << len(LEXICONS) + 2
+        return bits, min(LEVELS - 1, max(0, math.ceil(evidence / STEP)) if telling else 0)
 
 
 class LabelModel:
@@ -118,19 +146,22 @@ def _tree(patterns: np.ndarray, counts: np.ndarray, posterior: np.ndarray) -> li
     return parents
 
 
-def features(counts: np.ndarray) -> np.ndarray:
-    """What the linear classifier sees: a constant, whether each voter fires, how often (log), hits and kinds in all."""
-    fired = (counts > 0).astype(float)
-    return np.concatenate([np.ones((len(counts), 1)), fired, np.log1p(counts), np.log1p(counts[:, :-2].sum(axis=1, keepdims=True)),
-                           fired.sum(axis=1, keepdims=True)], axis=1)
+def features(bits: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """What the linear classifier sees: a constant, whether each voter fires, how many do, whether each level is reached."""
+    fired = (bits[:, None] >> np.arange(len(VOTERS)) & 1).astype(float)
+    reached = (levels[:, None] >= np.arange(1, LEVELS)).astype(float)
+    return np.concatenate([np.ones((len(bits), 1)), fired, fired.sum(axis=1, keepdims=True), reached], axis=1)
 
 
-def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
-    """Weights of a logistic regression on soft labels, by Newton steps."""
-    w = np.zeros(x.shape[1])
+def logistic(
+    x: np.ndarray, y: np.ndarray, weight: np.ndarray, prior: np.ndarray | None = None, ridge: float = 1.0, rounds: int = 60,
+) -> np.ndarray:
+    """Weights of a logistic regression on soft labels, by Newton steps; the ridge pulls towards `prior`."""
+    centre = np.zeros(x.shape[1]) if prior is None else prior
+    w = centre.copy()
     for _ in range(rounds):
         p = sigmoid(x @ w)
-        grad = x.T @ (weight * (p - y)) + ridge * w
+        grad = x.T @ (weight * (p - y)) + ridge * (w - centre)
         curve = (x * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + ridge * np.eye(len(w))
         step = np.linalg.solve(curve, grad)
         w -= np.clip(step, -2, 2)
@@ -147,6 +178,57 @@ def fold(doc_id: int | None) -> int:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % 5
 
 
+def scores(found: list[tuple[int, int]], weights: np.ndarray) -> np.ndarray:
+    bits, levels = np.array(found, np.int64).reshape(-1, 2).T
+    return sigmoid(features(bits, levels) @ weights)
+
+
+def mine(labelled: DataFrame, sizes: dict[int, int], least: float = 10.0, odds: float = 2.0) -> dict[bytes, float]:
+    """Starts of words, and whole words, that tell label 1: how many texts of each label have them is compared by a
+    likelihood ratio, so that what counts as enough follows from the number of texts. The weight is the log odds less its
+    standard error. The result is bounded by the labelled sample."""
+
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ys, ts in lists(batches):
+            seen: dict[bytes, list[int]] = {}
+            for y, t in zip(ys, ts, strict=True):
+                words = set(t.translate(LETTERS).split())
+                for g in {w + b" " for w in words} | {w[:n] for w in words for n in STEMS if len(w) >= n}:
+                    seen.setdefault(g, [0, 0])[y] += 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(seen), pa.binary()), pa.array([n[0] for n in seen.values()], pa.int64()),
+                 pa.array([n[1] for n in seen.values()], pa.int64())], ["gram", "clean", "toxic"])
+
+    def cross(n: Column, of: int, share: Column) -> Column:
+        """n log(share) + (of - n) log(1 - share), 0 log 0 being 0."""
+        return F.when(n > 0, n * F.log(share)).otherwise(0.0) + F.when(n < of, (F.lit(of) - n) * F.log(1 - share)).otherwise(0.0)
+
+    if not sizes.get(0) or not sizes.get(1):
+        return {}
+    toxic, clean, n1, n0 = F.col("toxic"), F.col("clean"), sizes[1], sizes[0]
+    share = (toxic + clean) / (n1 + n0)
+    ratio = 2 * (cross(toxic, n1, toxic / n1) + cross(clean, n0, clean / n0) - cross(toxic, n1, share) - cross(clean, n0, share))
+    log_odds = F.log((toxic + 0.5) / (n1 + 1)) - F.log((clean + 0.5) / (n0 + 1))
+    weight = log_odds - F.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))
+    counted = labelled.mapInArrow(grams, "gram binary, clean long, toxic long").groupBy("gram").agg(
+        F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    telling = counted.where((log_odds > odds) & (ratio > least)).select("gram", weight.alias("weight"))
+    return {bytes(r["gram"]): float(r["weight"]) for r in telling.collect()}
+
+
+def cut(score: np.ndarray, y: np.ndarray, n: np.ndarray, slack: float = 0.02) -> float:
+    """The score from which to call texts toxic: of the cuts between scores that occur whose F1 on these labels is within
+    `slack` of the best, the one nearest to 0.5, as a few labels cannot tell such cuts apart."""
+    values = np.unique(score)
+    middles = (np.append(0.0, values) + np.append(values, 1.0)) / 2
+    cuts = np.append(middles, 0.5)
+    toxic = n * (y == 1)
+    called = score >= cuts[:, None]
+    f1 = 2 * (called @ toxic) / np.maximum(1.0, called @ n + toxic.sum())
+    near = cuts[f1 >= f1.max() - slack]
+    return float(near[np.abs(near - 0.5).argmin()])
+
+
 def train(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
     most_labelled: int = 20_000,
@@ -154,61 +236,57 @@ def train(
     """Learn from the labelled rows outside the held-out fold, at most `most_labelled` of them (those first by a hash
     of their id), and from the votes on all documents.
 
-    Words far likelier under label 1 become a lexicon of their own. The label model learns from the counts of vote
-    patterns over the whole corpus, known labels included; the classifier from the labelled rows' patterns weighted
-    by its posteriors. Patterns are at most 2**11 times three labels, whatever the corpus.
+    Rows labelled both ways, with other labels than 0 and 1 or without id teach nothing; copies of a text count once. Word
+    starts that tell label 1 become a voter of their own (`mine`). Each document gives a pattern: which voters fire, and
+    the level of its evidence; of these there are at most 2**11 times 8, times the label if known. The label model learns
+    from the patterns of the whole corpus, and its posteriors, known labels kept, teach the classifier. A fifth of the
+    learning rows is kept back to set the cut, by a shift of the constant, so that 0.5 means the best F1.
+    Without documents, or without labels of both kinds, the lexicons alone speak.
     """
     known = labels.where(col(label_col).isin(0, 1) & col(id_col).isNotNull()).select(
         col(id_col).cast("long").alias("doc_id"), col(label_col).cast("int").alias("y"))
-    known = known.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0).dropDuplicates(["doc_id"])
-    sample = F.broadcast(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_labelled))
-    texts = docs.select(col(id_col).cast("long").alias("doc_id"), text_of(text_col).cast("binary").alias("t"))
-
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ys, ts in lists(batches):
-            seen: dict[bytes, list[int]] = {}
-            for y, t in zip(ys, ts, strict=True):
-                for w in set(t.translate(LETTERS).split()):
-                    seen.setdefault(w, [0, 0])[y] += 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(seen), pa.binary()), pa.array([n[0] for n in seen.values()], pa.int64()),
-                 pa.array([n[1] for n in seen.values()], pa.int64())], ["word", "clean", "toxic"])
-
-    labelled = texts.join(sample, "doc_id").select("y", "t")
-    sizes = dict(labelled.groupBy("y").count().collect())
-    mined: frozenset[bytes] = frozenset()
-    if sizes.get(0) and sizes.get(1):
-        odds = F.log((F.col("toxic") + 0.5) / (sizes[1] + 1)) - F.log((F.col("clean") + 0.5) / (sizes[0] + 1))
-        mined = frozenset(bytes(r[0]) for r in labelled.mapInArrow(words, "word binary, clean long, toxic long")
-                          .groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-                          .where((F.col("toxic") >= max(5, 0.02 * sizes[1])) & (odds > 4)).orderBy(F.desc("toxic"), "word")
-                          .limit(300).select("word").collect())
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    known = known.where(remainder != 0).groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("other")).where("y = other").drop("other")
+    chosen = first_by_hash(known, most_labelled, "doc_id").withColumn("kept_back", F.crc32(F.concat(F.lit("cut "), "doc_id").cast("binary")) % 5 == 0)
+    sample = F.broadcast(chosen)
+    texts = docs.select(col(id_col).cast("long").alias("doc_id"), F.lower(text_of(text_col)).cast("binary").alias("t"))
+    labelled = texts.join(sample, "doc_id").where("NOT kept_back").dropDuplicates(["t", "y"]).select("y", "t")
+    sizes = {r["y"]: r["count"] for r in labelled.groupBy("y").count().collect()}
+    mined = mine(labelled, sizes)
 
     def patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ys, ts in lists(batches):
-            seen: dict[tuple[int, int, bytes], int] = {}
-            for y, t in zip(ys, ts, strict=True):
-                counts = np.minimum(votes(t, mined), 7)
-                bits = sum(1 << i for i, c in enumerate(counts) if c)
-                key = (-1 if y is None else y, bits, b"" if y is None else bytes(counts.astype(np.uint8)))
+        votes, seen = Votes(mined), {}
+        for ys, backs, ts in lists(batches):
+            for y, back, t in zip(ys, backs, ts, strict=True):
+                key = (-1 if y is None else y, bool(back), *votes(t))
                 seen[key] = seen.get(key, 0) + 1
-            keys = list(seen)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], pa.int32()), pa.array([k[1] for k in keys], pa.int32()),
-                 pa.array([k[2] for k in keys], pa.binary()), pa.array(list(seen.values()), pa.int64())],
-                ["y", "bits", "counts", "n"])
-
-    rows = texts.join(sample, "doc_id", "left").select("y", "t").mapInArrow(
-        patterns, "y int, bits int, counts binary, n long").groupBy("y", "bits", "counts").agg(F.sum("n").alias("n")).collect()
+        columns = list(zip(*seen, strict=True)) or [(), (), (), ()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip((*columns, seen.values()), (pa.int32(), pa.bool_(), pa.int32(), pa.int32(), pa.int64()), strict=True)],
+            ["y", "kept_back", "bits", "level", "n"])
+
+    rows = texts.join(sample, "doc_id", "left").select("y", "kept_back", "t").mapInArrow(
+        patterns, "y int, kept_back boolean, bits int, level int, n long").groupBy("y", "kept_back", "bits", "level").agg(F.sum("n").alias("n")).collect()
+    size = features(np.zeros(1, np.int64), np.zeros(1, np.int64)).shape[1]
+    prior = np.zeros(size)
+    prior[0], prior[1: 1 + len(LEXICONS)] = -1.0, 2.0  # a voter that never fires keeps this weight
     if not rows:
-        return Model(mined, None, tuple(np.zeros(len(features(np.zeros((1, len(VOTERS))))[0]))))
-    fired = np.array([[r["bits"] >> i & 1 for i in range(len(VOTERS))] for r in rows])
-    n, y = np.array([float(r["n"]) for r in rows]), np.array([r["y"] for r in rows])
-    model = LabelModel(fired, n, y)
-    posterior = model.posterior(fired)
-    chosen = y >= 0 if (y >= 0).any() else np.ones(len(y), bool)
-    counts = np.array([list(r["counts"]) if r["counts"] else f for r, f in zip(rows, fired, strict=True)], float)
-    weights = logistic(features(counts[chosen]), posterior[chosen], n[chosen])
+        return Model(mined, None, tuple(prior))
+    y, bits, level, n = (np.array([r[c] for r in rows]) for c in ("y", "bits", "level", "n"))
+    back = np.array([r["kept_back"] for r in rows]) & (y >= 0)
+    n = n.astype(float)
+    fired = bits[:, None] >> np.arange(len(VOTERS)) & 1
+    shown = np.concatenate([fired, level[:, None] >= np.arange(1, LEVELS)], axis=1).astype(int)
+    model = LabelModel(shown, n, np.where(back, -1, y))
+    taught = (y >= 0) & ~back
+    target = np.where(taught, y, model.posterior(shown))
+    # together the other documents weigh as much as the labelled ones
+    n = np.where(taught | ~taught.any(), n, n * min(1.0, n[taught].sum() / max(1.0, n[~taught].sum())))
+    x = features(bits, level)
+    weights = logistic(x, target, n, prior)
+    if (y[back] == 1).any() and (y[back] == 0).any():
+        at = cut(sigmoid(x[back] @ weights), y[back], n[back])
+        weights[0] -= math.log(at / (1 - at))
     return Model(mined, model, tuple(weights))
 
 
@@ -218,28 +296,28 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     mined, weights = model.mined, np.array(model.weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        votes = Votes(mined)
         for ids, keys, texts in lists(batches):
-            found = np.minimum(np.array([votes(t, mined) for t in texts], float), 7)
-            p = sigmoid(features(found) @ weights)
+            p = scores([votes(t) for t in texts], weights)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array([fold(i) == 0 for i in ids], pa.bool_()), pa.array(p, pa.float64()),
                  pa.array((p >= 0.5).astype(np.int32))], ["doc_id", "key", "held_out", "score", "predicted"])
 
     text = text_of(text_col)
-    return docs.select(col(id_col).cast("long").alias("doc_id"), row_key(text).alias("key"), text.cast("binary").alias("t")).mapInArrow(
+    return docs.select(col(id_col).cast("long").alias("doc_id"), row_key(text).alias("key"), F.lower(text).cast("binary").alias("t")).mapInArrow(
         run, "doc_id long, key long, held_out boolean, score double, predicted int")
 
 
 def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The documents not predicted toxic, all columns kept. One pass without a shuffle."""
+    """The documents not predicted toxic, all columns kept. One pass without a shuffle. Null and empty texts are judged as
+    texts on which no voter fires; repeated rows share their verdict; an empty table stays empty."""
     mined, weights = model.mined, np.array(model.weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        votes = Votes(mined)
         for batch in batches:
             if batch.num_rows:
-                texts = batch.column(0).to_pylist()
-                found = np.minimum(np.array([votes(t, mined) for t in texts], float), 7)
-                yield batch.filter(pa.array(sigmoid(features(found) @ weights) < 0.5))
+                yield batch.filter(pa.array(scores([votes(t) for t in batch.column(0).to_pylist()], weights) < 0.5))
 
-    packed = docs.select(text_of(text_col).cast("binary").alias("t"), F.struct("*").alias("row"))
+    packed = docs.select(F.lower(text_of(text_col)).cast("binary").alias("t"), F.struct("*").alias("row"))
     return packed.mapInArrow(run, packed.schema).select("row.*")

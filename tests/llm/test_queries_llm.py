@@ -1,9 +1,14 @@
 """Each registered query over its whole table against brute force, and against its SQL where there is some."""
 
 import brute
+import numpy as np
 import pytest
 from compare import connect, spark_table, spark_types, sql_table, sql_types
 
+from pyspark.sql import functions as F
+
+from bookloom.llm import toxicity
+from bookloom.llm.common import load
 from bookloom.llm.oracle import ORACLE
 from bookloom.llm.queries import QUERIES, tokenizer_path
 
@@ -109,6 +114,37 @@ def test_toxicity_on_the_held_out_fold(spark):
     assert all((r.score >= 0.5) == (r.predicted == 1) for r in held)
 
 
+def caught(spark, share):
+    """Recall and false positives of `predicted` on the held-out fold, with this share of the labels."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (load(spark, sf, t) for t in ("documents", "labels"))
+    some = labels.where(F.crc32(F.concat(F.lit("s"), "doc_id").cast("binary")) % 1000 < 1000 * share)
+    held = toxicity.score(docs, toxicity.train(docs, some)).where("held_out").join(labels, "doc_id").collect()
+    toxic, clean = [r for r in held if r.toxic], [r for r in held if not r.toxic]
+    return sum(r.predicted for r in toxic) / len(toxic), sum(r.predicted for r in clean) / len(clean)
+
+
+@pytest.mark.parametrize("share, recall, wrong", [(1, 0.9, 0.01), (0.5, 0.84, 0.01), (0.2, 0.8, 0.05)])
+def test_toxicity_at_the_cut(spark, share, recall, wrong):
+    """Six in a hundred rows labelled toxic hold no telling word, so 0.94 is the most that can be caught."""
+    found, false = caught(spark, share)
+    assert found >= recall and false <= wrong
+
+
+def test_lexicon_words_that_no_label_shows(spark):
+    sf = "/root/testdata/sf0.1"
+    model = toxicity.train(load(spark, sf, "documents"), load(spark, sf, "labels"))
+    votes, weights = toxicity.Votes(model.mined), np.array(model.weights)
+    harsh, plain = toxicity.scores([votes(t.encode()) for t in ("du bist ein idioten", "tu es un connard")], weights), toxicity.scores([votes(b"guten tag")], weights)
+    assert harsh.min() > 10 * plain.max()
+
+
+def test_cut():
+    score, y = np.array([0.1, 0.2, 0.3, 0.9]), np.array([0, 0, 1, 1])
+    assert toxicity.cut(score, y, np.ones(4)) == pytest.approx(0.25) or 0.2 < toxicity.cut(score, y, np.ones(4)) <= 0.3
+    assert toxicity.cut(np.array([0.1, 0.9]), np.array([0, 1]), np.ones(2)) == 0.5
+
+
 def test_packing(spark, small, docs):
     ids = {}
     for (doc, _), tokens in zip(docs, brute.token_ids([t for _, t in docs], tokenizer_path()), strict=True):
