@@ -141,12 +141,11 @@ def lake_tables(spark: SparkSession, lake: Lake) -> dict[str, tuple[str, schemas
     return {**tables, **{name: (gold_path(spark, lake, name), layout) for name, layout in schemas.GOLD.items()}}
 
 
-def register_lake(spark: SparkSession, lake: Lake, database: str) -> DataFrame:
-    """Catalog entries for the silver and gold tables; returns their row counts."""
+def register_lake(spark: SparkSession, lake: Lake, database: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Catalog entries for the silver and gold tables; returns their row counts, and ten rows of each."""
     tables = lake_tables(spark, lake)
     register_tables(spark, database, tables)
-    counts, _ = verify_tables(spark, {f"{database}.{name}": layout.columns for name, (_, layout) in tables.items()})
-    return counts
+    return verify_tables(spark, {f"{database}.{name}": layout.columns for name, (_, layout) in tables.items()})
 
 
 def sync_lake(spark: SparkSession, lake: Lake, database: str) -> None:
@@ -232,7 +231,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         for name in names:
             refresh_gold(spark, lake, name, *asked_days(args), mode, args.weeks)
     elif args.run == "register":
-        register_lake(spark, lake, args.database).show(truncate=False)
+        counts, samples = register_lake(spark, lake, args.database)
+        counts.show(truncate=False)
+        for name, rows in samples.items():
+            print(name)
+            rows.show(truncate=40)
     elif args.run == "intake":
         follow_webhooks(spark, lake, args.envelopes, args.max_files)
     if args.run != "register" and getattr(args, "database", None):

@@ -82,4 +82,6 @@ def date_bounds(df: DataFrame, column: str) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, columns: Sequence[str], n: int = 10) -> DataFrame:
-    return df.select(*columns).limit(n)
+    """`n` rows that look random but are the same on every run: those whose contents have the lowest hash."""
+    texts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    return df.select(*columns).orderBy(F.sha2(F.concat_ws("|", *texts), 256), *columns).limit(n)

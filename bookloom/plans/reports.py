@@ -15,6 +15,7 @@ from bookloom.functions import times as T
 from bookloom.functions.numbers import divide, round_half_even, round_half_up, safe_ratio
 from bookloom.functions.text import campaign_label, display_label
 from bookloom.operators.aggregates import count_bookings, count_ids, pivot_fill
+from bookloom.operators.bitmaps import BITS, count_sketched
 from bookloom.operators.running import running_sum
 from bookloom.operators.selection import optional_in
 
@@ -179,8 +180,10 @@ def slots(
     table: DataFrame, keys: Sequence[str], start: Bound = None, end: Bound = None,
     sources: Names = None, universe: Names = None,
 ) -> DataFrame:
+    """Distinct bookings per slot, from the table of bookings or from the stored sets of their numbers."""
     rows = optional_in(within(table, "booking_date_local", start, end), "source", sources, universe)
-    return count_bookings(rows, list(keys)).orderBy(*[k for k in keys if k != "dow_name"])
+    counted = count_sketched(rows, keys, "bookings") if BITS in table.columns else count_bookings(rows, list(keys))
+    return counted.orderBy(*[k for k in keys if k != "dow_name"])
 
 
 def slots_heatmap(table: DataFrame, *args, **kwargs) -> DataFrame:
@@ -200,7 +203,10 @@ def slots_by_weekday(table: DataFrame, *args, **kwargs) -> DataFrame:
 def weekly_meetings(
     table: DataFrame, start: Bound = None, end: Bound = None, employees: Names = None, universe: Names = None,
 ) -> DataFrame:
+    """Distinct meetings per employee and week, from the table of meetings or from the stored sets of their numbers."""
     rows = optional_in(within(table, "week_start_date", start, end), "employee_id", employees, universe)
+    if BITS in table.columns:
+        return count_sketched(rows, ["employee_id", "week_start_date"], "meetings")
     return count_ids(rows, ["employee_id", "week_start_date"], "meeting_id", "meetings")
 
 

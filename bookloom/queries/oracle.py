@@ -366,6 +366,7 @@ GROUP BY channel, dt""",
     "refreshed_cpb": with_spend(CPB_COLUMNS, CPB),
     "refreshed_cpb_daily": with_spend(CPB_COLUMNS, CPB),
     "refreshed_cumulative": from_bookings(CUMULATIVE_COLUMNS, CUMULATIVE),
+    "refreshed_cumulative_blocks": from_bookings(CUMULATIVE_COLUMNS, CUMULATIVE),
     "refreshed_campaign_daily": with_spend(CAMPAIGN_COLUMNS, campaign_cte()),
     "refreshed_time_features": from_bookings(TIME_COLUMNS, TIMES),
     "refreshed_time_features_pruned": from_bookings(f"{TIME_COLUMNS} WHERE {between('booking_date_local', START, DAY)}", TIMES),
@@ -387,6 +388,16 @@ SELECT channel, spend, dt FROM clean_spend WHERE {between('CAST(dt AS DATE)')}""
     "catalog_row_counts": with_spend("""
 SELECT 'bookloom_check.booking_events' AS table_name, count(*) AS n_rows FROM bookings
 UNION ALL SELECT 'bookloom_check.events_spend', count(*) FROM spend"""),
+    "catalog_samples": "WITH " + SILVER + SPEND + """
+SELECT 'bookloom_check.booking_events' AS table_name, "row" FROM (
+  SELECT concat_ws('|', coalesce(booking_id, ''), coalesce(channel, ''), coalesce(invitee_email, ''), dt) AS "row" FROM silver
+  ORDER BY sha256("row") LIMIT 10)
+UNION ALL SELECT 'bookloom_check.events_spend', "row" FROM (
+  SELECT concat_ws('|', channel, strftime(day, '%Y-%m-%d')) AS "row" FROM spend ORDER BY sha256("row") LIMIT 10)""",
+    "catalog_compared": with_spend(f"""
+SELECT strftime(day, '%Y-%m-%d') AS dt, count(*) AS n_expected, count(*) FILTER (day <> DATE '{START}') AS n_stored,
+  CASE WHEN day = DATE '{START}' THEN 'missing' WHEN day = DATE '{DAY}' THEN 'changed' ELSE 'same' END AS status
+FROM spend GROUP BY day"""),
     "catalog_swapped_cpb": with_spend(CPB_COLUMNS, CPB),
     "csv_export": from_bookings(DAILY_COLUMNS, daily_cte()),
 
@@ -452,11 +463,14 @@ UNION ALL SELECT 'bookloom_check.events_spend', count(*) FROM spend"""),
     "report_slots_sources": from_bookings("SELECT DISTINCT source FROM times", TIMES),
     "report_slots_heatmap": slots("dow_num, dow_name, hour_of_day", between("booking_date_local")),
     "report_slots_by_hour": slots("hour_of_day", f"{between('booking_date_local')} AND {TWO}"),
+    "report_slots_heatmap_from_sets": slots("dow_num, dow_name, hour_of_day", between("booking_date_local")),
+    "report_slots_by_hour_from_sets": slots("hour_of_day", f"{between('booking_date_local')} AND {TWO}"),
     "report_slots_by_weekday": slots("dow_num, dow_name", between("booking_date_local")),
 
     "report_load_range": from_bookings(days_of("week_start_date", "meetings"), MEETINGS),
     "report_load_employees": from_bookings("SELECT DISTINCT employee_id FROM meetings", MEETINGS),
     "report_load_by_employee": from_bookings("SELECT * FROM load", MEETINGS, load_cte(FULL_MONTHS)),
+    "report_load_by_employee_from_sets": from_bookings("SELECT * FROM load", MEETINGS, load_cte(FULL_MONTHS)),
     "report_load_by_employee_integer": from_bookings("SELECT * FROM load", MEETINGS, load_cte("TRUE", "//")),
     "report_load_by_employee_selected": from_bookings("SELECT * FROM load", MEETINGS, load_cte(
         f"{between('week_start_date', *WEEKS)} AND employee_id IN ('emp1', 'emp2', 'emp3')")),

@@ -11,13 +11,14 @@ from bookloom import schemas
 from bookloom.functions import times as T
 from bookloom.functions.numbers import round_half_up
 from bookloom.functions.text import blank_to_null, campaign_label, display_label, present
+from bookloom.operators.bitmaps import Numbering
 from bookloom.operators.lookup import map_channel_table
 from bookloom.operators.running import latest_before
 from bookloom.operators.selection import date_bounds, options
-from bookloom.plans import gold, intake, ranges, refresh, reports, seen, silver
+from bookloom.plans import blocks, gold, intake, ranges, refresh, reports, seen, sets, silver
 from bookloom.queries import adapters as A
 from bookloom.session import configure, work_dir
-from bookloom.sinks import catalog, export, versions
+from bookloom.sinks import catalog, export, verify, versions
 from bookloom.sinks.tables import overwrite_partitions, replace_days, write_table
 from bookloom.sources.tables import load_table
 from bookloom.sources.webhooks import parse_bronze, read_envelopes, stream_envelopes
@@ -252,6 +253,16 @@ def refreshed_cumulative(spark, sf):
     return load_table(spark, path, schemas.CUMULATIVE)
 
 
+@query
+def refreshed_cumulative_blocks(spark, sf):
+    """Totals in weekly blocks: built up to a day, then the days after, then an early day again."""
+    path, totals, events = work_dir(spark, "blocks"), work_dir(spark, "block-totals"), A.bookings(spark, sf)
+    blocks.build_blocks(first_part(spark, sf).filter(F.col("dt") != DAY), path, totals, "week")
+    for start, end in ((AFTER_END, LAST), (DAY, DAY)):
+        blocks.refresh_blocks(events, path, totals, start, end, "week")
+    return blocks.cumulative(load_table(spark, path, blocks.BLOCKS), load_table(spark, totals, blocks.TOTALS), period="week")
+
+
 @query
 def refreshed_campaign_daily(spark, sf):
     path, spend = work_dir(spark, "campaign"), A.spend(spark, sf)
@@ -332,21 +343,47 @@ def table_replace_days(spark, sf):
     return load_table(spark, path, schemas.SPEND)
 
 
-@query
-def catalog_row_counts(spark, sf):
-    """Two silver tables registered by folder; row counts from the catalog."""
+CATALOG_SAMPLES = {"booking_events": ["booking_id", "channel", "invitee_email", "dt"], "events_spend": ["channel", "dt"]}
+
+
+def verified(spark, sf):
+    """Two silver tables registered by folder; row counts and samples from the catalog."""
     events_path, spend_path = work_dir(spark, "events"), work_dir(spark, "spend")
     write_table(silver.flatten_events(parse_bronze(A.bronze(spark, sf))), events_path, schemas.EVENTS.by)
     write_table(A.spend(spark, sf), spend_path, schemas.SPEND.by)
     database = "bookloom_check"
     catalog.register_tables(spark, database, {
         "booking_events": (events_path, schemas.EVENTS), "events_spend": (spend_path, schemas.SPEND)})
-    counts, _ = catalog.verify_tables(spark, {
-        f"{database}.booking_events": ["booking_id", "channel", "invitee_email", "dt"],
-        f"{database}.events_spend": ["channel", "spend", "dt"]})
+    return catalog.verify_tables(spark, {f"{database}.{name}": columns for name, columns in CATALOG_SAMPLES.items()})
+
+
+@query
+def catalog_row_counts(spark, sf):
+    counts, _ = verified(spark, sf)
     return counts
 
 
+@query
+def catalog_samples(spark, sf):
+    """Ten rows of each table, the same on every run."""
+    _, samples = verified(spark, sf)
+    shown = [rows.select(F.lit(name).alias("table_name"), F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in rows.columns]).alias("row"))
+             for name, rows in samples.items()]
+    return shown[0].unionByName(shown[1])
+
+
+@query
+def catalog_compared(spark, sf):
+    """A stored table in which one day has a changed row and another day is missing, against what it should hold."""
+    path, table = work_dir(spark, "spend-compared"), "bookloom_check.spend_compared"
+    expected = A.spend(spark, sf)
+    hurt = expected.filter(F.col("dt") != START).withColumn(
+        "spend", F.when((F.col("dt") == DAY) & (F.col("channel") == A.FACEBOOK), F.col("spend") + 1).otherwise(F.col("spend")))
+    write_table(hurt, path, schemas.SPEND.by)
+    catalog.register_tables(spark, "bookloom_check", {"spend_compared": (path, schemas.SPEND)})
+    return verify.compare(expected, spark.table(table), ["dt"])
+
+
 @query
 def catalog_swapped_cpb(spark, sf):
     """Full refresh by moving the catalog entry to a finished copy."""
@@ -624,6 +661,25 @@ def report_slots_by_weekday(spark, sf):
     return reports.slots_by_weekday(times(spark, sf), START, END)
 
 
+def slot_sets(spark, sf):
+    """Sets of booking numbers per slot, built in two runs."""
+    path, numbering = work_dir(spark, "slot-sets"), Numbering(work_dir(spark, "numbers"), buckets=8)
+    late = F.col("booking_date_local") > END
+    for rows in (times(spark, sf).filter(~late), times(spark, sf).filter(late)):
+        sets.refresh_slot_sets(rows, numbering, path)
+    return load_table(spark, path, schemas.SLOT_SETS)
+
+
+@query
+def report_slots_heatmap_from_sets(spark, sf):
+    return reports.slots_heatmap(slot_sets(spark, sf), START, END)
+
+
+@query
+def report_slots_by_hour_from_sets(spark, sf):
+    return reports.slots_by_hour(slot_sets(spark, sf), START, END, TWO_SOURCES, A.CHANNELS)
+
+
 # Report tab 6
 
 def meetings(spark, sf):
@@ -665,6 +721,13 @@ def report_load_weekly(spark, sf):
     return reports.load_weekly(meetings(spark, sf), WEEKS[0], "2024-01-29")
 
 
+@query
+def report_load_by_employee_from_sets(spark, sf):
+    path = work_dir(spark, "meeting-sets")
+    sets.refresh_meeting_sets(meetings(spark, sf), Numbering(work_dir(spark, "numbers"), buckets=8), path)
+    return reports.load_by_employee(load_table(spark, path, schemas.MEETING_SETS), WEEKS[0], "2024-01-29")
+
+
 # Column functions
 
 @query

@@ -95,5 +95,13 @@ MEETING_FEATURES = TableLayout(
     "employee_meetings_features",
     "employee_id string, meeting_id string, meeting_date date, week_start_date date", ("week_start_date",))
 
+# Sets of booking and meeting numbers, from which counts over any range follow (see operators.bitmaps).
+SLOT_SETS = TableLayout(
+    "booking_slot_sets",
+    "source string, dow_num int, dow_name string, hour_of_day int, bucket bigint, bits binary, booking_date_local date",
+    ("booking_date_local",))
+MEETING_SETS = TableLayout(
+    "employee_meeting_sets", "employee_id string, bucket bigint, bits binary, week_start_date date", ("week_start_date",))
+
 GOLD = {t.name: t for t in (
     DAILY_BOOKINGS, CPB, CUMULATIVE, CAMPAIGN_DAILY, TIME_FEATURES, MEETING_FEATURES)}
