@@ -16,6 +16,7 @@ from bookloom.functions.numbers import divide, round_half_even, round_half_up, s
 from bookloom.functions.text import campaign_label, display_label
 from bookloom.operators.aggregates import count_bookings, count_ids, pivot_fill
 from bookloom.operators.bitmaps import BITS, count_sketched
+from bookloom.operators.pages import cells, headings, paged
 from bookloom.operators.running import running_sum
 from bookloom.operators.selection import optional_in
 
@@ -174,6 +175,14 @@ def attribution_bookings_pivot(agg: DataFrame, campaigns: Names = None) -> DataF
     return pivot_fill(agg, "source", "campaign", "bookings", "sum", campaigns, fill=0)
 
 
+def attribution_pages(agg: DataFrame, width: int, value: str = "bookings") -> tuple[DataFrame, DataFrame]:
+    """The cross tables for any number of campaigns: wide blocks, and the headings of their columns. `value` is bookings
+    (missing ones 0) or cpb (missing ones null)."""
+    names = headings(agg, "campaign", width)
+    long = cells(agg, "source", "campaign", value, "sum" if value == "bookings" else "avg")
+    return paged(long, names, "source", width, fill=0 if value == "bookings" else None), names
+
+
 # Tab 5: time of day and day of week
 
 def slots(

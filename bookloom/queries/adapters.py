@@ -196,3 +196,15 @@ def spend_files(spark: SparkSession, sf_dir: str) -> str:
         array = records.agg(F.to_json(F.collect_list(F.struct("date", "channel", "spend"))).alias("value"))
         array.write.text(f"{root}/spend_data_{label_of_file}.json")
     return root
+
+
+def spend_arrays(spark: SparkSession, sf_dir: str) -> str:
+    """The spend records as three files with one event a record, as inside an array, and braces and quotes inside a text;
+    returns their folder."""
+    root = work_dir(spark, "spend-arrays")
+    rows = spend_records(spark, sf_dir).withColumn("note", F.lit('a "}" and {'))
+    for n in range(1, 4):
+        name = f"spend_data_2024-02-0{n}.json"
+        lines = rows.where(F.col("source_file") == name).select(F.to_json(F.struct("date", "channel", "spend", "note")).alias("value"))
+        lines.coalesce(1).write.option("lineSep", ",\n").text(f"{root}/{name}")
+    return root

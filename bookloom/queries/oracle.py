@@ -329,6 +329,7 @@ SELECT * REPLACE (CASE WHEN utm_source IN ('click', 'view') THEN utm_source END
     "spend_silver": "WITH " + CLEAN_SPEND + "\nSELECT * FROM clean_spend",
 
     "events_silver_from_files": "WITH " + SILVER + f"\nSELECT * FROM silver WHERE {between('CAST(dt AS DATE)')}",
+    "spend_silver_from_arrays": "WITH " + CLEAN_SPEND + "\nSELECT * FROM clean_spend",
     "spend_silver_from_files": "WITH " + WITH_K + """
 SELECT channel, arg_max(spend, file) AS spend, dt
 FROM (
@@ -459,6 +460,14 @@ FROM spend GROUP BY day"""),
     "report_attribution_bookings_pivot": attribution(pivot(
         "source", "campaign", "CAST(coalesce(sum(bookings) FILTER (campaign = '{v}'), 0) AS BIGINT)", "agg", CAMPAIGNS)),
 
+    "report_attribution_page_headings": attribution("""
+SELECT campaign AS heading, n - 1 AS place, (n - 1) // 2 AS page, CAST((n - 1) % 2 AS INTEGER) AS slot
+FROM (SELECT DISTINCT campaign, dense_rank() OVER (ORDER BY campaign) AS n FROM agg)"""),
+    "report_attribution_pages": attribution("""
+SELECT source, (n - 1) // 2 AS page, CAST(coalesce(sum(bookings) FILTER (n % 2 = 1), 0) AS BIGINT) AS c0,
+  CAST(coalesce(sum(bookings) FILTER (n % 2 = 0), 0) AS BIGINT) AS c1
+FROM (SELECT *, dense_rank() OVER (ORDER BY campaign) AS n FROM agg) GROUP BY ALL"""),
+
     "report_slots_range": from_bookings(days_of("booking_date_local", "times"), TIMES),
     "report_slots_sources": from_bookings("SELECT DISTINCT source FROM times", TIMES),
     "report_slots_heatmap": slots("dow_num, dow_name, hour_of_day", between("booking_date_local")),

@@ -20,6 +20,7 @@ from bookloom.queries import adapters as A
 from bookloom.session import configure, work_dir
 from bookloom.sinks import catalog, export, verify, versions
 from bookloom.sinks.tables import overwrite_partitions, replace_days, write_table
+from bookloom.sources.spend import read_spend_arrays
 from bookloom.sources.tables import load_table
 from bookloom.sources.webhooks import parse_bronze, read_envelopes, stream_envelopes
 from bookloom.streaming.intake import start_intake
@@ -97,6 +98,12 @@ def spend_silver_from_files(spark, sf):
     return load_table(spark, path, schemas.SPEND)
 
 
+@query
+def spend_silver_from_arrays(spark, sf):
+    """All records in three arrays, some of them without channel or day; several tasks read each."""
+    return silver.clean_spend(read_spend_arrays(spark, A.spend_arrays(spark, sf)))
+
+
 # Gold
 
 @query
@@ -630,6 +637,19 @@ def report_attribution_bookings_pivot(spark, sf):
     return reports.attribution_bookings_pivot(attributed(spark, sf), A.CAMPAIGNS)
 
 
+@query
+def report_attribution_pages(spark, sf):
+    """The cross table of bookings in blocks of two columns."""
+    wide, _ = reports.attribution_pages(attributed(spark, sf), 2)
+    return wide
+
+
+@query
+def report_attribution_page_headings(spark, sf):
+    _, names = reports.attribution_pages(attributed(spark, sf), 2)
+    return names
+
+
 # Report tab 5
 
 def times(spark, sf):
