@@ -329,6 +329,7 @@ SELECT * REPLACE (CASE WHEN utm_source IN ('click', 'view') THEN utm_source END
     "spend_silver": "WITH " + CLEAN_SPEND + "\nSELECT * FROM clean_spend",
 
     "events_silver_from_files": "WITH " + SILVER + f"\nSELECT * FROM silver WHERE {between('CAST(dt AS DATE)')}",
+    "events_silver_from_compacted": "WITH " + SILVER + f"\nSELECT * FROM silver WHERE {between('CAST(dt AS DATE)')}",
     "spend_silver_from_arrays": "WITH " + CLEAN_SPEND + "\nSELECT * FROM clean_spend",
     "spend_silver_from_files": "WITH " + WITH_K + """
 SELECT channel, arg_max(spend, file) AS spend, dt

@@ -15,7 +15,7 @@ from bookloom.operators.bitmaps import Numbering
 from bookloom.operators.lookup import map_channel_table
 from bookloom.operators.running import latest_before
 from bookloom.operators.selection import date_bounds, options
-from bookloom.plans import blocks, gold, intake, ranges, refresh, reports, seen, sets, silver
+from bookloom.plans import blocks, compaction, gold, intake, ranges, refresh, reports, seen, sets, silver
 from bookloom.queries import adapters as A
 from bookloom.session import configure, work_dir
 from bookloom.sinks import catalog, export, verify, versions
@@ -89,6 +89,15 @@ def events_silver_from_files(spark, sf):
     return load_table(spark, path, schemas.EVENTS)
 
 
+@query
+def events_silver_from_compacted(spark, sf):
+    """Stored webhook JSON of some days taken into the compacted table, in two runs that overlap."""
+    root, path = A.stored_webhooks(spark, sf), work_dir(spark, "compacted")
+    for end in (DAY, END):
+        compaction.compact(spark, root, path, START, end)
+    return silver.flatten_events(compaction.read_compacted(spark, path, START, END))
+
+
 @query
 def spend_silver_from_files(spark, sf):
     """First the earliest file, then all of them."""
