@@ -34,8 +34,12 @@ def safe_ratio(numerator: Column, denominator: Column, scale: int = 2, integer:
 
 
 def as_money(column: Column, strict: bool = False) -> Column:
-    """Double from a number or text; bad text is null unless `strict`."""
-    return column.cast("double") if strict else column.try_cast("double")
+    """Double from a number or text. Bad text is null; with `strict` it is an error, whatever the session makes of casts."""
+    value = column.try_cast("double")
+    if not strict:
+        return value
+    bad = F.raise_error(F.concat(F.lit("CAST_INVALID_INPUT: no amount of money: "), column.cast("string")))
+    return F.when(column.isNotNull() & value.isNull(), bad).otherwise(value)
 
 
 def sum_money(column: Column, strict: bool = False) -> Column:

@@ -55,6 +55,12 @@ def test_money_text(spark):
     assert df.agg(N.sum_money(F.col("v"))).first()[0] == 1.5
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         df.agg(N.sum_money(F.col("v"), strict=True)).collect()
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="no amount of money: x"):
+            df.agg(N.sum_money(F.col("v"), strict=True)).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
 
 
 def test_days():
