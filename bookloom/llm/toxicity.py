@@ -52,36 +52,44 @@ class Votes:
 
     def __init__(self, mined: dict[bytes, float]):
         self.mined = mined
-        self.words: dict[bytes, tuple[int, float] | None] = {}
-
-    def word(self, w: bytes) -> tuple[int, float] | None:
-        """Bits and log odds of a telling word, None for any other."""
+        self.heads = {g.strip()[:STEMS[0]] for g in mined} | {w[:STEMS[0]] for w in ANY}  # few words begin like a telling one
+        self.seen: set[bytes] = set()
+        self.telling: dict[bytes, tuple[int, float]] = {}
+        self.names: set[bytes] = set()
+
+    def look_at(self, w: bytes) -> None:
+        """Bits and log odds of a word, if it tells anything."""
+        if w[:STEMS[0]] not in self.heads:
+            return
         found = [self.mined[g] for g in (w + b" ", *(w[:n] for n in STEMS if len(w) >= n)) if g in self.mined]
         bits = sum(1 << i for i, lexicon in enumerate(LEXICONS.values()) if w in lexicon)
-        if not found and not bits:
-            return None
-        return bits | (bool(found) << len(LEXICONS)), max(found, default=LEXICON_WEIGHT)
+        if found or bits:
+            self.telling[w] = bits | (bool(found) << len(LEXICONS)), max(found, default=LEXICON_WEIGHT)
+            self.names.add(w)
 
     def __call__(self, text: bytes) -> tuple[int, int]:
         plain = text.translate(LETTERS)
         words = plain.split()
-        known = self.words
-        if len(known) > REMEMBERED:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = self.word(w)
-        telling = {w: t for w in set(words) if (t := known[w])}
+        distinct = set(words)
+        if len(self.seen) > REMEMBERED:
+            for memory in (self.seen, self.telling, self.names):
+                memory.clear()
+        new = distinct - self.seen
+        for w in new:
+            self.look_at(w)
+        self.seen |= new
+        hits = distinct & self.names
         bits, evidence = 0, -PER_WORD * len(words)
-        for b, odds in telling.values():
+        for b, odds in sorted(self.telling[w] for w in hits):  # in order, as sums of doubles depend on it
             bits |= b
             evidence += odds
-        if telling:
-            near = [w in telling for w in words]
+        if hits and not YOU.isdisjoint(distinct):
+            near = [w in hits for w in words]
             if any(w in YOU and any(near[max(0, i - 3): i + 4]) for i, w in enumerate(words)):
                 bits |= 1 << len(LEXICONS) + 1
         if THREAT.search(plain):
             bits |= 1 << len(LEXICONS) + 2
-        return bits, min(LEVELS - 1, max(0, math.ceil(evidence / STEP)) if telling else 0)
+        return bits, min(LEVELS - 1, max(0, math.ceil(evidence / STEP)) if hits else 0)
 
 
 class LabelModel:
