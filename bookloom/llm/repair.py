@@ -266,11 +266,13 @@ def first_rows(parts: DataFrame) -> DataFrame:
     """(stretch, kept): for conversations of several stretches, the places of rows with a role and text not seen before."""
     several = parts.groupBy("conv_id").count().where("count > 1").select("conv_id")
     long = parts.select("conv_id", "stretch", "keys", "firsts")
-    rows = long.join(several, same(long, several, "conv_id"), "left_semi").select(
-        "conv_id", "stretch", F.posexplode(F.arrays_zip("keys", "firsts")).alias("place", "row"))
+    long = long.join(several, same(long, several, "conv_id"), "left_semi")
+    rows = long.select("conv_id", "stretch", F.posexplode(F.arrays_zip("keys", "firsts")).alias("place", "row"))
     rows = rows.where("row.firsts").select("conv_id", F.col("row.keys").alias("key"), F.struct("stretch", "place").alias("at"))
-    return rows.groupBy("conv_id", "key").agg(F.min("at").alias("at")).groupBy(F.col("at.stretch").alias("stretch")).agg(
+    kept = rows.groupBy("conv_id", "key").agg(F.min("at").alias("at")).groupBy(F.col("at.stretch").alias("stretch")).agg(
         F.sort_array(F.collect_list("at.place")).alias("kept"))
+    # a stretch that brings nothing new keeps an empty list
+    return long.select("stretch").join(kept, "stretch", "left").select("stretch", F.coalesce("kept", F.array().cast("array<int>")).alias("kept"))
 
 
 @dataclass
