@@ -125,7 +125,8 @@ def attribution(
     rows = within(table, "dt", start, end)
     rows = optional_in(rows, "source", sources, all_sources)
     rows = optional_in(rows, "campaign", campaigns, all_campaigns)
-    spend, bookings = F.sum(F.col("total_spend").cast("double")), F.sum(F.col("total_bookings").cast("long"))
+    # The last digits of a sum of doubles depend on the order of addition; without them a half cent rounds one way only.
+    spend, bookings = round_half_up(F.sum(F.col("total_spend").cast("double")), 9), F.sum(F.col("total_bookings").cast("long"))
     return rows.groupBy("source", "campaign").agg(
         bookings.alias("bookings"),
         round_half_up(spend).alias("spend"),
