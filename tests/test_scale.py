@@ -1,8 +1,15 @@
 """Bounds on what one task holds, and on what is shuffled and written."""
 
+import pytest
 from pyspark.sql import functions as F
 
+from bookloom.operators import lookup
 from bookloom.queries import adapters as A
+from fixtures import values
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString() + df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_no_task_gets_more_rows_than_fit_it_as_bodies(spark, monkeypatch):
@@ -10,3 +17,17 @@ def test_no_task_gets_more_rows_than_fit_it_as_bodies(spark, monkeypatch):
     rows = A.spread(spark.range(0, 20_000, 1, 40).coalesce(2))
     sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(sizes) == 20_000 and max(sizes) <= 600
+
+
+@pytest.mark.parametrize("sent", [1, 50_000])
+def test_channels_from_few_keys_leave_events_in_their_tasks(spark, monkeypatch, sent):
+    monkeypatch.setattr(lookup, "SENT_KEYS", sent)
+    events = spark.range(0, 3000, 1, 12).select(
+        "id", F.when(F.col("id") % 10 != 9, F.concat(F.lit("u"), (F.col("id") % 3).cast("string"))).alias("event_type_url"), F.lit("old").alias("channel"))
+    mapping = spark.createDataFrame([("u0", "a"), ("u0", "b"), ("u1", None), (None, "z")], "event_type_url string, channel string")
+    found = lookup.map_channel_table(events, mapping.repartition(2))
+    assert found.count() == 3000
+    assert values(found.groupBy("event_type_url", "channel").count()) == values(spark.createDataFrame(
+        [("u0", "b", 900), ("u1", None, 900), ("u2", None, 900), (None, None, 300)], found.groupBy("event_type_url", "channel").count().schema))
+    tasks = found.select(F.spark_partition_id()).distinct().count()
+    assert tasks == 12 if sent > 1 else "SortMergeJoin" in plan_of(found)
