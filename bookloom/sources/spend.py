@@ -10,6 +10,11 @@ from bookloom.functions.times import Day, iso
 
 ALL = "ALL"
 
+# Pieces are counted in chunks of so many, dealt to tasks of about so many bytes of text: a sort of a whole split of the file
+# would take several times its size in memory.
+PIECES_A_CHUNK = 8192
+BYTES_A_TASK = 8 * 1024**2
+
 
 def spend_path(prefix: str, day: Day) -> str:
     """The file of one day, or a pattern for every file when `day` is "ALL"."""
@@ -38,7 +43,7 @@ def read_spend_arrays(spark: SparkSession, prefix: str, day: Day = ALL) -> DataF
     plain = (F.col("quotes") % 2 == 0) & ((F.col("opened") == 1) | _blank())
     broken = marked.groupBy("source_file").agg(F.max(~plain).alias("broken")).where("broken").select("source_file")
     whole = marked.join(broken, "source_file", "left_anti").where("opened = 1").select(F.concat("value", F.lit("}")).alias("record"), "source_file")
-    mended = _mend(marked.join(broken, "source_file", "left_semi"))
+    mended = _mend(marked.join(broken, "source_file", "left_semi"), _tasks(spark, spend_path(prefix, day)))
     records = whole.unionByName(mended).select(
         F.from_json(F.regexp_replace("record", r"^[\s,\[]+", ""), schemas.SPEND_RECORD).alias("r"), "source_file")
     return records.select("r.*", "source_file")
@@ -64,28 +69,39 @@ def _blank() -> Column:
     return F.col("value").rlike(r"^[\s,\[\]]*$")
 
 
-def _before(column: str, label: str, blocks: DataFrame, pieces: DataFrame) -> DataFrame:
-    """Pieces with the sum of `column` over all pieces of the file in front of them: inside a block of the file by one
-    window over it, plus the sums of the blocks before, one row each."""
-    by_block = Window.partitionBy("source_file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    inside = Window.partitionBy("source_file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    sums = blocks.groupBy("source_file", "block").agg(F.sum(column).alias("__sum")).select(
-        "source_file", "block", F.coalesce(F.sum("__sum").over(by_block), F.lit(0)).alias("__before"))
-    return pieces.join(sums, ["source_file", "block"]).withColumn(
+CHUNK = ["source_file", "block", "chunk"]
+
+
+def _tasks(spark: SparkSession, path: str) -> int:
+    """Tasks for the text of these files, which are only listed."""
+    size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0
+    return max(spark.sparkContext.defaultParallelism, -(-size // BYTES_A_TASK))
+
+
+def _before(column: str, label: str, pieces: DataFrame) -> DataFrame:
+    """Pieces with the sum of `column` over all pieces of the file in front of them: inside a chunk by one window over it,
+    plus the sums of the chunks before, one row each."""
+    by_chunk = Window.partitionBy("source_file").orderBy("block", "chunk").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*CHUNK).orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    sums = pieces.groupBy(*CHUNK).agg(F.sum(column).alias("__sum")).select(
+        *CHUNK, F.coalesce(F.sum("__sum").over(by_chunk), F.lit(0)).alias("__before"))
+    return pieces.join(sums, CHUNK).withColumn(
         label, F.col("__before") + F.coalesce(F.sum(column).over(inside), F.lit(0))).drop("__before")
 
 
-def _mend(pieces: DataFrame) -> DataFrame:
+def _mend(pieces: DataFrame, tasks: int) -> DataFrame:
     """Records put together from their pieces: first it is told which pieces begin inside a text, then how deep in objects
     each one ends; a record is whole where the depth is back at 0."""
-    placed = _before("quotes", "quotes_before", pieces, pieces)
+    # A number of tasks that is given stays; those of a join would be merged again by their bytes in the shuffle.
+    chunks = pieces.withColumn("chunk", F.col("at") - F.col("at") % PIECES_A_CHUNK).repartition(tasks, *CHUNK)
+    placed = _before("quotes", "quotes_before", chunks)
     within = F.col("quotes_before") % 2 == 1
     ends_within = (F.col("quotes_before") + F.col("quotes")) % 2 == 1
     opened = F.when(within, F.col("opened_inside")).otherwise(F.col("opened"))
     deep = placed.withColumn("change", opened - F.when(ends_within, 0).otherwise(1))
-    deep = _before("change", "depth", deep, deep)
+    deep = _before("change", "depth", deep)
     ends = deep.withColumn("ends", (F.col("depth") + F.col("change") == 0).cast("int"))
     tail = _blank() & (F.col("depth") == 0)  # behind the last record, and no brace follows
-    numbered = _before("ends", "record_no", ends, ends).where(~tail)
+    numbered = _before("ends", "record_no", ends).where(~tail)
     parts = numbered.groupBy("source_file", "record_no").agg(F.sort_array(F.collect_list(F.struct("block", "at", "value"))).alias("parts"))
     return parts.select(F.concat(F.array_join(F.col("parts.value"), "}"), F.lit("}")).alias("record"), "source_file")

@@ -1,10 +1,13 @@
 """Bounds on what one task holds, and on what is shuffled and written."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
 from bookloom.operators import lookup
 from bookloom.queries import adapters as A
+from bookloom.sources import spend
 from fixtures import values
 
 
@@ -31,3 +34,17 @@ def test_channels_from_few_keys_leave_events_in_their_tasks(spark, monkeypatch,
         [("u0", "b", 900), ("u1", None, 900), ("u2", None, 900), (None, None, 300)], found.groupBy("event_type_url", "channel").count().schema))
     tasks = found.select(F.spark_partition_id()).distinct().count()
     assert tasks == 12 if sent > 1 else "SortMergeJoin" in plan_of(found)
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 8192])
+def test_pieces_of_an_array_are_counted_in_chunks(spark, tmp_path, monkeypatch, chunk):
+    monkeypatch.setattr(spend, "PIECES_A_CHUNK", chunk)
+    monkeypatch.setattr(spend, "BYTES_A_TASK", 400)
+    records = [{"date": f"2025-10-{n % 28 + 1:02d}", "channel": f'}}"{n}{{', "spend": n, "more": {"a": ["}"]}} for n in range(100)]
+    for day in ("01", "02"):
+        (tmp_path / f"spend_data_2025-10-{day}.json").write_text(json.dumps(records[: 50 * int(day)]))
+    rows = spend.read_spend_arrays(spark, str(tmp_path))
+    columns = ["date", "channel", "spend", "source_file"]
+    assert values(rows.select(columns)) == values(spend.read_spend(spark, str(tmp_path)).select(columns))
+    windows = [line for line in plan_of(rows).splitlines() if "Window [" in line and "at#" in line]
+    assert windows and all("chunk#" in line for line in windows)
