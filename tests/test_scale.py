@@ -1,11 +1,15 @@
 """Bounds on what one task holds, and on what is shuffled and written."""
 
 import json
+import os
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from bookloom import schemas
 from bookloom.operators import lookup
+from bookloom.plans import intake
 from bookloom.queries import adapters as A
 from bookloom.sources import spend
 from fixtures import values
@@ -48,3 +52,22 @@ def test_pieces_of_an_array_are_counted_in_chunks(spark, tmp_path, monkeypatch,
     assert values(rows.select(columns)) == values(spend.read_spend(spark, str(tmp_path)).select(columns))
     windows = [line for line in plan_of(rows).splitlines() if "Window [" in line and "at#" in line]
     assert windows and all("chunk#" in line for line in windows)
+
+
+def test_later_copies_are_decided_in_one_join(spark):
+    at = lambda h: datetime(2025, 10, 7, h)
+    rows = [("a", 5, 1), ("a", 4, 2), ("b", 3, 3), ("c", 1, 4), ("c", 1, 5), ("d", None, 6), ("d", 2, 7), (None, 2, 8), (None, 3, 9), ("e", 2, 10)]
+    table = spark.createDataFrame(
+        [(k, "{}", None, h and at(h), None, "x", "2025-10-07", n) for k, h, n in rows], schemas.STAGED.ddl)
+    known = spark.createDataFrame([("2025-10-07", "x", "b"), ("2025-10-07", "x", "c"), ("2025-10-07", "x", "none"), ("2025-10-07", "x", "none")], "dt string, event string, event_id string")
+    later = intake.later_rows(table, known)
+    assert sorted(r.row for r in later.collect()) == [1, 3, 4, 5, 7, 9]
+    assert later._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+    first, rest = intake.first_and_later(table, known)
+    assert sorted(r.row for r in first.collect()) == [2, 6, 8, 10] and rest.count() == 6
+
+
+def test_landed_envelopes_are_compressed(spark):
+    path = A.landed_envelopes(spark, "/root/testdata/sf0.001")
+    names = [p for p in os.listdir(path) if p.startswith("part-")]
+    assert names and all(p.endswith(".json.gz") for p in names)
