@@ -67,7 +67,11 @@ def test_later_copies_are_decided_in_one_join(spark):
     assert sorted(r.row for r in first.collect()) == [2, 6, 8, 10] and rest.count() == 6
 
 
-def test_landed_envelopes_are_compressed(spark):
-    path = A.landed_envelopes(spark, "/root/testdata/sf0.001")
+def test_landed_envelopes_are_compressed(spark, tmp_path):
+    spark.range(50).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-10 10:00:00' AS ts", "id AS user_id", "'click' AS event_type", "1.5D AS value",
+        "concat('{\"k\": ', id, '}') AS props").write.parquet(f"{tmp_path}/events.parquet")
+    path = A.landed_envelopes(spark, str(tmp_path))
     names = [p for p in os.listdir(path) if p.startswith("part-")]
     assert names and all(p.endswith(".json.gz") for p in names)
+    assert spark.read.schema(schemas.ENVELOPE).json(path).count() == 50
